@@ -1,0 +1,94 @@
+"""Compare every acceptance query with its SQL twin.
+
+    python -m tests.parity [sf_dir] [name ...]
+"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
+def oracle(sf_dir: str):
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def plain(value):
+    if isinstance(value, float):
+        return None if math.isnan(value) else round(value, 6)
+    if isinstance(value, (list, tuple)):
+        return tuple(plain(v) for v in value)
+    if hasattr(value, "as_tuple"):
+        return round(float(value), 6)
+    return value
+
+
+def ordered(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return [names[i] for i in order], sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
+
+
+def difference(spark, con, fn, sql: str, sf_dir: str) -> str | None:
+    """None when both sides agree, else what differs."""
+    df = fn(spark, sf_dir)
+    names, rows = ordered(df.columns, df.collect())
+    result = con.execute(sql)
+    names2, rows2 = ordered([d[0] for d in result.description], result.fetchall())
+    if names != names2:
+        return f"columns {names} / {names2}"
+    if len(rows) != len(rows2):
+        return f"rows {len(rows)} / {len(rows2)}"
+    for a, b in zip(rows, rows2):
+        if a != b:
+            return f"first difference {a} / {b}"
+    return None
+
+
+def main() -> int:
+    from __spark_entry__ import oracle_sql, queries
+    from tidemark import build_session
+
+    args = sys.argv[1:]
+    sf_dir = args[0] if args else "/root/testdata/sf0.001"
+    wanted = args[1:]
+    spark = build_session(
+        master=f"local[{os.environ.get('CPUS', '8')}]",
+        spark__sql__shuffle__partitions="8",
+        spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
+        spark__driver__memory="6g",
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con = oracle(sf_dir)
+    twins, bad = oracle_sql(), 0
+    for name, fn in queries().items():
+        if wanted and name not in wanted:
+            continue
+        began = time.time()
+        try:
+            if name in twins:
+                found = difference(spark, con, fn, twins[name], sf_dir)
+            else:
+                found = None if fn(spark, sf_dir).count() else "no rows"
+        except Exception as error:  # noqa: BLE001 - every query is reported
+            found = f"{type(error).__name__}: {str(error)[:600]}"
+        bad += found is not None
+        print(f"{'ok ' if found is None else 'BAD'} {name} {time.time() - began:.1f}s {found or ''}", flush=True)
+    print("different:", bad)
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main() else 0)

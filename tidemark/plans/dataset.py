@@ -20,6 +20,18 @@ from tidemark.plans import folders
 
 BUCKET = "_bucket"
 
+# Text formats must keep the microseconds, which they do not by default.
+TEXT_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def format_options(file_format: str) -> dict[str, str]:
+    if file_format == "csv":
+        return {"header": "true", "escape": '"', "multiLine": "true", **TEXT_OPTIONS}
+    return dict(TEXT_OPTIONS) if file_format == "json" else {}
+
 LOADS_SCHEMA = (
     "load_id string, pipeline string, source string, resource string, table_name string, disposition string,"
     " rows bigint, schema_hash string, status string, started_at timestamp, finished_at timestamp"
@@ -57,9 +69,7 @@ class StoredTable:
         else:
             paths = [f"{self.folder}/{e['dir']}" for e in entries]
             reader = self.spark.read.format(self.info["format"]).schema(stored).option("basePath", self.folder)
-            if self.info["format"] == "csv":
-                reader = reader.option("header", "true")
-            df = reader.load(paths)
+            df = reader.options(**format_options(self.info["format"])).load(paths)
         keep = stored.fieldNames() if with_layout else schema.fieldNames()
         notes = {f.name: f.metadata for f in schema.fields}
         return df.select(*[F.col(f"`{n}`").alias(n, metadata=notes.get(n) or {}) for n in keep])
@@ -83,8 +93,7 @@ class StoredTable:
             key = [F.col(c) for c in self.info["key"]]
             df = df.withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(self.info["buckets"])).cast("int"))
         writer = (df.hint("rebalance", F.col(layout)) if layout else df).write.format(self.info["format"])
-        if self.info["format"] == "csv":
-            writer = writer.option("header", "true")
+        writer = writer.options(**format_options(self.info["format"]))
         if layout:
             writer = writer.partitionBy(layout)
         writer.save(f"{self.folder}/{folder}")
