@@ -81,7 +81,7 @@ def main() -> int:
             if name in twins:
                 found = difference(spark, con, fn, twins[name], sf_dir)
             else:
-                found = None if fn(spark, sf_dir).count() else "no rows"
+                found = None if fn(spark, sf_dir).collect() else "no rows"
         except Exception as error:  # noqa: BLE001 - every query is reported
             found = f"{type(error).__name__}: {str(error)[:600]}"
         bad += found is not None

@@ -1,8 +1,9 @@
 """Coverage of intervals: islands, gaps and freshness.
 
-Intervals of a group are merged in time buckets first. What crosses a bucket edge
-travels in one summary row per group and bucket, so no task ever holds a whole group,
-however many intervals it has.
+Intervals are cut at bucket edges (a day, unless chosen otherwise) and merged inside each
+bucket. A bucket then has at most two islands that touch its edges, and only those have
+to be looked at across buckets. So no task ever holds a whole group, however many
+intervals it has, and a bucket that is covered many times is one row before the shuffle.
 """
 
 from __future__ import annotations
@@ -15,45 +16,41 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark.windows import bound_literal
 
 
-def _marked(df: DataFrame, start: str, end: str, by: Sequence[str], bucket: str, counted: str | None) -> DataFrame:
-    """Bucket-local islands: by, bucket, s, e, n, the end before each one, and whether it begins an island."""
-    by = list(by)
-    weight = F.sum(counted) if counted else F.count(F.lit(1))
-    starts = (
-        df.where(F.col(start).isNotNull() & F.col(end).isNotNull())
-        .groupBy(*by, F.col(start).alias("s"))
-        .agg(F.max(end).alias("e"), weight.cast("bigint").alias("n"))
-        .withColumn("b", F.date_trunc(bucket, "s"))
+def _pieces(df: DataFrame, start: str, end: str, by: Sequence[str], bucket: str, counted: str | None) -> DataFrame:
+    """by, b (bucket start), s, e, n: intervals cut at bucket edges, equal starts put together.
+
+    An interval is counted in its first piece only.
+    """
+    step = F.expr(f"INTERVAL 1 {bucket.upper()}")
+
+    def edge(value):
+        return F.date_trunc(bucket, value).cast("timestamp_ntz")
+
+    rows = df.where(F.col(start).isNotNull() & F.col(end).isNotNull()).select(
+        *by,
+        F.col(start).cast("timestamp_ntz").alias("s0"),
+        F.col(end).cast("timestamp_ntz").alias("e0"),
+        (F.col(counted) if counted else F.lit(1)).cast("bigint").alias("n0"),
+    )
+    cut = rows.select(*by, "s0", "e0", "n0", F.explode(F.sequence(edge("s0"), edge("e0"), step)).alias("b"))
+    return cut.groupBy(*by, "b", F.greatest("s0", "b").alias("s")).agg(
+        F.max(F.least("e0", F.col("b") + step)).alias("e"),
+        F.sum(F.when(F.col("s0") >= F.col("b"), F.col("n0")).otherwise(0)).alias("n"),
     )
-    local = Window.partitionBy(*by, "b").orderBy("s")
-    before = F.max("e").over(local.rowsBetween(Window.unboundedPreceding, -1))
-    islands = (
-        starts.withColumn("_new", F.when(F.col("s") <= before, 0).otherwise(1))
-        .withColumn("_k", F.sum("_new").over(local.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def _bucket_islands(df, start, end, by, bucket, counted) -> DataFrame:
+    """by, b, s, e, n: what the intervals cover inside each bucket."""
+    inside = Window.partitionBy(*by, "b").orderBy("s")
+    before = F.max("e").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    return (
+        _pieces(df, start, end, by, bucket, counted)
+        .withColumn("_opens", F.when(F.col("s") <= before, 0).otherwise(1))
+        .withColumn("_k", F.sum("_opens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy(*by, "b", "_k")
         .agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("n").alias("n"))
         .drop("_k")
     )
-    across = Window.partitionBy(*by).orderBy("b") if by else Window.orderBy("b")
-    carry = (
-        islands.groupBy(*by, "b")
-        .agg(F.max("e").alias("_last"))
-        .withColumn("_carry", F.max("_last").over(across.rowsBetween(Window.unboundedPreceding, -1)))
-        .drop("_last")
-    )
-    joined = _null_safe_join(islands, carry, [*by, "b"])
-    return joined.withColumn(
-        "_before", F.greatest(F.max("e").over(local.rowsBetween(Window.unboundedPreceding, -1)), F.col("_carry"))
-    ).withColumn("_new", F.col("_before").isNull() | (F.col("s") > F.col("_before")))
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    probe = right.select(*[F.col(k).alias(f"_j_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    condition = None
-    for k in keys:
-        equal = left[k].eqNullSafe(probe[f"_j_{k}"])
-        condition = equal if condition is None else condition & equal
-    return left.join(probe, condition, "left").drop(*[f"_j_{k}" for k in keys])
 
 
 def islands(
@@ -66,30 +63,45 @@ def islands(
 ) -> DataFrame:
     """Merged intervals per group: by, island_start, island_end, n. Intervals that touch are one."""
     by = list(by)
-    marked = _marked(df, start, end, by, bucket, counted)
-    local = Window.partitionBy(*by, "b").orderBy("s")
-    across = Window.partitionBy(*by).orderBy("b") if by else Window.orderBy("b")
-    opening = F.when(F.col("_new"), F.col("s"))
-    earlier = (
-        marked.groupBy(*by, "b")
-        .agg(F.max(opening).alias("_opened"))
-        .withColumn("_earlier", F.max("_opened").over(across.rowsBetween(Window.unboundedPreceding, -1)))
-        .drop("_opened")
-    )
-    here = F.max(opening).over(local.rowsBetween(Window.unboundedPreceding, 0))
-    placed = _null_safe_join(marked.withColumn("_here", here), earlier, [*by, "b"])
+    kind = df.schema[start].dataType.simpleString()
+    step = F.expr(f"INTERVAL 1 {bucket.upper()}")
+    local = _bucket_islands(df, start, end, by, bucket, counted)
+    touches = (F.col("s") == F.col("b")) | (F.col("e") == F.col("b") + step)
+    # Islands inside a bucket are groups of their own; the others of a group share NULL.
+    spread = local.withColumn("_own", F.when(~touches, F.col("s")))
+    along = Window.partitionBy(*by, "_own").orderBy("s", "b")
+    joins = F.coalesce((F.col("s") == F.col("b")) & (F.lag("e").over(along) == F.col("s")), F.lit(False))
     return (
-        placed.groupBy(*by, F.coalesce("_here", "_earlier").alias("island_start"))
-        .agg(F.max("e").alias("island_end"), F.sum("n").alias("n"))
-        .select(*by, "island_start", "island_end", "n")
+        spread.withColumn("_opens", F.when(joins, 0).otherwise(1))
+        .withColumn("_k", F.sum("_opens").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*by, "_own", "_k")
+        .agg(F.min("s").alias("island_start"), F.max("e").alias("island_end"), F.sum("n").alias("n"))
+        .select(*by, F.col("island_start").cast(kind), F.col("island_end").cast(kind), "n")
     )
 
 
 def gaps(df: DataFrame, start: str, end: str, by: Sequence[str] = (), bucket: str = "day") -> DataFrame:
-    """What lies between the islands of each group: by, gap_start, gap_end."""
-    marked = _marked(df, start, end, by, bucket, None)
-    return marked.where(F.col("_new") & F.col("_before").isNotNull()).select(
-        *by, F.col("_before").alias("gap_start"), F.col("s").alias("gap_end")
+    """What lies between the islands of each group: by, gap_start, gap_end.
+
+    Gaps inside a bucket need that bucket only; for those between buckets there is one
+    row per group and bucket.
+    """
+    by = list(by)
+    kind = df.schema[start].dataType.simpleString()
+    local = _bucket_islands(df, start, end, by, bucket, None)
+    inside = Window.partitionBy(*by, "b").orderBy("s")
+    within = local.withColumn("gap_start", F.lag("e").over(inside)).select(*by, "gap_start", F.col("s").alias("gap_end"))
+    across = Window.partitionBy(*by).orderBy("b") if by else Window.orderBy("b")
+    between = (
+        local.groupBy(*by, "b")
+        .agg(F.min("s").alias("gap_end"), F.max("e").alias("_last"))
+        .withColumn("gap_start", F.lag("_last").over(across))
+        .select(*by, "gap_start", "gap_end")
+    )
+    return (
+        within.unionByName(between)
+        .where(F.col("gap_start") < F.col("gap_end"))
+        .select(*by, F.col("gap_start").cast(kind), F.col("gap_end").cast(kind))
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
@@ -17,23 +16,33 @@ Provider = Callable[[list[str]], np.ndarray]
 BLOCK_BYTES = 64 * 1024 * 1024
 
 
-def hashed_words(dimensions: int = 64) -> Callable[[], Provider]:
+def hashed_words(dimensions: int = 64, words_at_once: int = 200_000) -> Callable[[], Provider]:
     """Offline provider: counts of words and word pairs in hashed places, scaled to length 1."""
 
-    def build() -> Provider:
-        def vectors(texts: list[str]) -> np.ndarray:
-            out = np.zeros((len(texts), dimensions), dtype=np.float32)
-            for row, text in enumerate(texts):
-                words = text.lower().split()
-                terms = words + [f"{a} {b}" for a, b in zip(words, words[1:])]
-                places = [zlib.crc32(term.encode()) % dimensions for term in terms]
-                out[row] = np.bincount(places, minlength=dimensions)[:dimensions] if places else 0
-            norms = np.linalg.norm(out, axis=1, keepdims=True)
-            return out / np.where(norms == 0, 1, norms)
-
-        return vectors
-
-    return build
+    def counts(words: list[list[str]]) -> np.ndarray:
+        lengths = [len(w) for w in words]
+        codes = pd.util.hash_array(np.array([w for part in words for w in part], dtype=object), categorize=False)
+        rows = np.repeat(np.arange(len(words)), lengths)
+        paired = rows[:-1] == rows[1:]
+        pairs = codes[:-1][paired] * np.uint64(31) + codes[1:][paired]
+        size = np.uint64(dimensions)
+        places = np.concatenate([codes % size, pairs % size]).astype(np.int64)
+        owners = np.concatenate([rows, rows[:-1][paired]])
+        return np.bincount(owners * dimensions + places, minlength=len(words) * dimensions).reshape(-1, dimensions)
+
+    def vectors(texts: list[str]) -> np.ndarray:
+        parts, waiting, size = [], [], 0
+        for text in texts:
+            waiting.append(text.lower().split())
+            size += len(waiting[-1])
+            if size >= words_at_once:
+                parts.append(counts(waiting))
+                waiting, size = [], 0
+        if waiting:
+            parts.append(counts(waiting))
+        return _unit(np.vstack(parts).astype(np.float64)).astype(np.float32)
+
+    return lambda: vectors
 
 
 def embedded(
@@ -50,11 +59,9 @@ def embedded(
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         vectors = build()
         for texts in batches:
-            present = texts.notna()
-            out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-            if present.any():
-                out[present] = list(np.asarray(vectors(texts[present].tolist()), dtype=np.float32))
-            yield out
+            present = [text for text in texts if text is not None]
+            found = iter(np.asarray(vectors(present), dtype=np.float32) if present else ())
+            yield pd.Series([None if text is None else next(found) for text in texts], dtype=object)
 
     return df.withColumns({target: embed(text) for text, target in columns.items()})
 

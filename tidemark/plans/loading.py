@@ -213,7 +213,7 @@ class Pipeline:
             )
         merge = resource.write_disposition == "merge"
         key = list(resource.primary_key)
-        if merge:
+        if merge and not resource.unique_batch:
             df = latest_per_key(df, key, resource.newest)
         nested = has_nesting(df)
         lists = nested_lists(flatten(df)) if nested else []

@@ -38,7 +38,7 @@ def place_region(place: Column | str) -> Column:
     return last_token(place, ", ", "Unknown")
 
 
-@transformation(write_disposition="merge", primary_key=["day", "region"], partition_by="day")
+@transformation(write_disposition="merge", primary_key=["day", "region"], partition_by="day", unique_batch=True)
 def earthquake_daily_stats(dataset, window: TimeWindow | None = None, align: str = "group") -> DataFrame:
     """Events, magnitudes and depth per UTC day and region.
 

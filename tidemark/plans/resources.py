@@ -21,6 +21,7 @@ class Resource:
     build            spark -> DataFrame (paged resources also take `page_limit`)
     columns          per column: free annotations, and `type` for a cast
     newest           column that decides between rows of the same key in one batch
+    unique_batch     a batch holds one row per key by construction, so that step is left out
     partition_by     stored layout: one folder per value, so a merge rewrites only touched ones
     buckets          stored layout by hash of the key, for keys without a natural partition
     contract         evolve / add / freeze, see operators.normalize.reconciled
@@ -35,6 +36,7 @@ class Resource:
     table_name: str | None = None
     incremental: Incremental | None = None
     newest: str | None = None
+    unique_batch: bool = False
     partition_by: str | None = None
     buckets: int | None = None
     contract: str = "evolve"
