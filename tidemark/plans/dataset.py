@@ -87,7 +87,7 @@ class StoredTable:
 
     def write_files(self, df: DataFrame, load_id: str) -> list[dict]:
         """Write a new folder and return its entries, one per layout value."""
-        folder = f"v={load_id}-{uuid.uuid4().hex[:8]}"
+        folder = f"_version={load_id}-{uuid.uuid4().hex[:8]}"
         layout = self.layout
         if layout == BUCKET:
             key = [F.col(c) for c in self.info["key"]]
@@ -167,7 +167,7 @@ class StoredTable:
     def vacuum(self) -> list[str]:
         """Delete load folders that no current entry uses. Only for times without readers of older versions."""
         used = {e["dir"].split("/")[0] for e in self.info.get("entries", [])}
-        stale = [n for n in folders.names(self.spark, self.folder) if n.startswith("v=") and n not in used]
+        stale = [n for n in folders.names(self.spark, self.folder) if n.startswith("_version=") and n not in used]
         for name in stale:
             folders.remove(self.spark, f"{self.folder}/{name}")
         return stale
