@@ -720,6 +720,22 @@ def dataset_row_counts(spark, sf_dir):
     return _two_loads(spark, sf_dir).dataset().row_counts()
 
 
+@query("SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-12' AND ts <= TIMESTAMP '2024-01-25'")
+def refresh_from_epoch(spark, sf_dir):
+    """A refresh run drops what was loaded and begins again at a later epoch."""
+    run = pipeline(spark, "epoch")
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    window = TimeWindow("2024-01-02T00:00:00", "2024-01-25T00:00:00")
+
+    def feeds(span: TimeWindow) -> Source:
+        cursor = Incremental("ts", span.start, span.end)
+        return Source.of("feeds", [Resource("events", lambda s: events, "merge", "event_id", incremental=cursor)])
+
+    run.run(feeds(window), load_id="1")
+    run.run(feeds(window.since("2024-01-12T00:00:00")), refresh="drop_sources", load_id="2")
+    return run.dataset()["events"].select("event_id", "ts")
+
+
 @query(
     """SELECT 'customer' AS table_name, count(*) AS row_count FROM customer UNION ALL SELECT 'orders', count(*) FROM orders WHERE o_orderstatus = 'O'"""
 )

@@ -186,7 +186,11 @@ def split_variant(value: Column, incoming: T.DataType, stored: T.DataType) -> tu
     """The part of a column that the stored type holds exactly, and the rest.
 
     Numbers are compared after the round trip, so 3.0 fits a bigint column and 3.5 does not.
+    Text fits a timestamp column when it is an instant.
     """
+    if isinstance(incoming, T.StringType) and isinstance(stored, (T.TimestampType, T.TimestampNTZType)):
+        instant = F.try_to_timestamp(value).cast(stored)
+        return instant, F.when(instant.isNull(), value)
     as_stored = value.try_cast(stored)
     back = as_stored.try_cast(incoming)
     fits = F.coalesce(back == value, F.lit(False))

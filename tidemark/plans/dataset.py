@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.operators.merge import same_key, without_keys
 from tidemark.operators.normalize import LOAD_ID
@@ -85,14 +85,21 @@ class StoredTable:
             field["nullable"] = True
         self.info.update(info)
 
-    def write_files(self, df: DataFrame, load_id: str) -> list[dict]:
-        """Write a new folder and return its entries, one per layout value."""
+    def write_files(self, df: DataFrame, load_id: str, counted: Observation | None = None) -> list[dict]:
+        """Write a new folder and return its entries, one per layout value.
+
+        Rows are counted in the last stage, where a task that is run again counts once.
+        """
         folder = f"_version={load_id}-{uuid.uuid4().hex[:8]}"
         layout = self.layout
         if layout == BUCKET:
             key = [F.col(c) for c in self.info["key"]]
             df = df.withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(self.info["buckets"])).cast("int"))
-        writer = (df.hint("rebalance", F.col(layout)) if layout else df).write.format(self.info["format"])
+        if layout:
+            df = df.hint("rebalance", F.col(layout))
+        if counted is not None:
+            df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+        writer = df.write.format(self.info["format"])
         writer = writer.options(**format_options(self.info["format"]))
         if layout:
             writer = writer.partitionBy(layout)
@@ -106,17 +113,19 @@ class StoredTable:
         self.info.update(info, entries=entries)
         folders.write_text(self.spark, f"{self.folder}/current.json", json.dumps(self.info))
 
-    def replace(self, df: DataFrame, load_id: str) -> list[dict]:
-        return self.write_files(df, load_id)
+    def replace(self, df: DataFrame, load_id: str, counted: Observation | None = None) -> list[dict]:
+        return self.write_files(df, load_id, counted)
 
-    def append(self, df: DataFrame, load_id: str) -> list[dict]:
+    def append(self, df: DataFrame, load_id: str, counted: Observation | None = None) -> list[dict]:
         """A retry of the same load takes the place of its first attempt."""
         kept = [e for e in self.info["entries"] if e["load"] != load_id]
-        return kept + self.write_files(df, load_id)
+        return kept + self.write_files(df, load_id, counted)
 
-    def merge(self, df: DataFrame, load_id: str, key: Sequence[str]) -> list[dict]:
+    def merge(
+        self, df: DataFrame, load_id: str, key: Sequence[str], counted: Observation | None = None
+    ) -> list[dict]:
         """Update or insert. Only layout folders that hold an old or new row of the batch are rewritten."""
-        staged = self.write_files(df, load_id)
+        staged = self.write_files(df, load_id, counted)
         current = self.info["entries"]
         if not current:
             return staged
@@ -151,13 +160,16 @@ class StoredTable:
                 parts.add(entry["part"])
         return parts
 
-    def merge_children(self, df: DataFrame, load_id: str, parent_ids: DataFrame, link: str) -> list[dict]:
+    def merge_children(
+        self, df: DataFrame, load_id: str, parent_ids: DataFrame, link: str, counted: Observation | None = None
+    ) -> list[dict]:
         """Child rows of the parents in the batch are replaced as a whole."""
         current = self.info["entries"]
+        staged = self.write_files(df, load_id, counted)
         if not current:
-            return self.write_files(df, load_id)
+            return staged
         kept = without_keys(self.read(current), parent_ids, [link], [parent_ids.columns[0]])
-        return self.write_files(kept.unionByName(df, allowMissingColumns=True), load_id)
+        return self.write_files(kept, load_id) + staged
 
     def drop(self) -> None:
         if self.info:

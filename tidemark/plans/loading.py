@@ -24,6 +24,7 @@ from tidemark.operators.normalize import (
     nested_lists,
     reconciled,
     relational_tables,
+    timestamps_from_text,
     widened,
     with_row_keys,
 )
@@ -227,6 +228,8 @@ class Pipeline:
             df.write.parquet(staged)
             df = self.spark.read.schema(df.schema).parquet(staged)
         tables = relational_tables(df, resource.table) if nested else {resource.table: df}
+        if resource.infer_times:
+            tables = {name: self._timed(name, rows) for name, rows in tables.items()}
         parents = tables[resource.table]
         for name, rows in tables.items():
             is_child = name != resource.table
@@ -245,6 +248,14 @@ class Pipeline:
                     }
                 )
 
+    def _timed(self, name: str, rows: DataFrame) -> DataFrame:
+        """Text columns of a table that is not stored yet become timestamps where all values are; later
+        loads follow the stored type."""
+        stored = StoredTable(self.spark, self.root, name).schema
+        known = set(stored.fieldNames()) if stored is not None else set()
+        texts = [f for f, kind in rows.dtypes if kind == "string" and f not in (ROW_ID, PARENT_ID, ROOT_ID)]
+        return timestamps_from_text(rows, [c for c in texts if c not in known])
+
     def _write(
         self,
         resource: Resource,
@@ -269,17 +280,16 @@ class Pipeline:
             info["buckets"] = None if is_child else resource.buckets
         stored.describe(ready, **info)
         counted = Observation()
-        watched = ready.observe(counted, F.count(F.lit(1)).alias("rows"))
         disposition = resource.write_disposition
         if disposition == "replace":
-            entries = stored.replace(watched, load_id)
+            entries = stored.replace(ready, load_id, counted)
         elif disposition == "append":
-            entries = stored.append(watched, load_id)
+            entries = stored.append(ready, load_id, counted)
         elif is_child:
             link = ROOT_ID if ROOT_ID in rows.columns else PARENT_ID
-            entries = stored.merge_children(watched, load_id, parents.select(ROW_ID), link)
+            entries = stored.merge_children(ready, load_id, parents.select(ROW_ID), link, counted)
         else:
-            entries = stored.merge(watched, load_id, key)
+            entries = stored.merge(ready, load_id, key, counted)
         shape = json.dumps(stored.info["schema"], sort_keys=True)
         return _Pending(
             stored,

@@ -25,6 +25,7 @@ class Resource:
     partition_by     stored layout: one folder per value, so a merge rewrites only touched ones
     buckets          stored layout by hash of the key, for keys without a natural partition
     contract         evolve / add / freeze, see operators.normalize.reconciled
+    infer_times      text columns that hold ISO instants only are stored as timestamps
     row_ids          None: row keys only where a key or nesting asks for them
     """
 
@@ -42,6 +43,7 @@ class Resource:
     contract: str = "evolve"
     metrics: tuple = ()
     source: str | None = None
+    infer_times: bool = False
     row_ids: bool | None = None
     page_limit: int | None = None
     paged: bool = False

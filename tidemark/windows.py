@@ -47,6 +47,10 @@ class TimeWindow:
         last = self.end.replace(hour=0, minute=0, second=0, microsecond=0) + timedelta(days=1)
         return TimeWindow(first, last - timedelta(microseconds=1))
 
+    def since(self, epoch: datetime | str | None) -> "TimeWindow":
+        """The window of a refresh run: from `epoch`, where one is given, to the same end."""
+        return self if epoch is None else replace(self, start=as_utc(epoch))
+
     def with_lag(self, lag: timedelta) -> "TimeWindow":
         return replace(self, start=self.start - lag)
 
