@@ -661,13 +661,13 @@ def merge_by_composite_key(spark, sf_dir):
     """SELECT event_id, CASE WHEN event_type = 'purchase' THEN ts + INTERVAL 40 DAY ELSE ts END AS ts, event_type FROM events"""
 )
 def merge_moves_partition(spark, sf_dir):
-    """The key is not part of the layout: revised rows move to another day, and the old ones go."""
+    """Laid out by day, keyed by id: revised rows move to another day, and the old ones go."""
     run = pipeline(spark, "moves")
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    target = Resource("events", lambda s: events.withColumn("day", F.col("ts").cast("date")), "merge", "event_id", partition_by="day")
+    target = Resource("events", lambda s: events, "merge", "event_id", partition_by=("ts", "day"))
     run.run(target, load_id="1")
     moved = events.where("event_type = 'purchase'").withColumn("ts", F.col("ts") + F.expr("INTERVAL 40 DAY"))
-    run.run(target.with_rows(moved.withColumn("day", F.col("ts").cast("date"))), load_id="2")
+    run.run(target.with_rows(moved), load_id="2")
     return run.dataset()["events"].select("event_id", "ts", "event_type")
 
 
@@ -792,7 +792,9 @@ def load_file_formats(spark, sf_dir):
 def replayed_windows(spark, sf_dir):
     """Overlapping windows, merged by (day, region), give the same rows as one long window."""
     run = pipeline(spark, "replay")
-    data = {"earthquakes": earthquakes(spark, sf_dir)}
+    ingest = Resource("earthquakes", lambda s: earthquakes(s, sf_dir), "merge", "id", partition_by=("time", "day"))
+    run.run(ingest, load_id="ingest")
+    data = run.dataset()
     spans = [("2024-01-03T05:00:00", "2024-01-09T07:00:00"), ("2024-01-08T00:00:00", "2024-01-15T03:00:00")]
     spans += [("2024-01-14T22:00:00", "2024-01-19T23:00:00"), ("2024-01-08T00:00:00", "2024-01-15T03:00:00")]
     for number, span in enumerate(spans):

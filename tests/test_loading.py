@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import Incremental, Pipeline, Resource, Source, paged_resource, source, transformation
+from tidemark import Incremental, Pipeline, Resource, Source, TimeWindow, paged_resource, source, transformation
 from tidemark.operators.normalize import SchemaConflict, flagged_columns
 from tidemark.plans import folders
 
@@ -250,3 +250,35 @@ def test_bad_arguments(spark, run):
         run.run(spark.range(1), "t", refresh="everything")
     with pytest.raises(TypeError):
         run.run(5)
+
+
+def test_period_layout_prunes_and_moves(spark, run, rows):
+    def stamped(data):
+        return spark.createDataFrame(data, "id bigint, s string").select("id", F.col("s").cast("timestamp").alias("t"))
+
+    events = Resource(
+        "e", lambda s: stamped([(1, "2024-01-01 05:00:00"), (2, "2024-01-02 00:00:00"), (3, None)]), "merge", "id",
+        partition_by=("t", "day"),
+    )
+    run.run(events, load_id="1")
+    before = {e["part"]: e["dir"] for e in run.dataset().stored("e").info["entries"]}
+    assert set(before) == {"_period=2024-01-01", "_period=2024-01-02", "_period=__HIVE_DEFAULT_PARTITION__"}
+    run.run(events.with_rows(stamped([(3, "2024-01-03 00:00:00"), (4, "2024-01-02 23:00:00")])), load_id="2")
+    after = {e["part"]: e["dir"] for e in run.dataset().stored("e").info["entries"]}
+    assert set(after) == {"_period=2024-01-01", "_period=2024-01-02", "_period=2024-01-03"}
+    assert after["_period=2024-01-01"] == before["_period=2024-01-01"]
+    data = run.dataset()
+    assert rows(data.e, "id") == [(1,), (2,), (3,), (4,)] and "_period" not in data.e.columns
+    window = TimeWindow("2024-01-02T00:00:00", "2024-01-03T00:00:00")
+    some = data.table_between("e", "t", window)
+    assert rows(some, "id") == [(2,), (3,), (4,)] == rows(window.rows(data.e, "t"), "id")
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_period" in plan
+
+
+def test_stable_layout_skips_the_search(spark, run):
+    target_rows = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
+    fixed = Resource("t", lambda s: target_rows, "merge", "id", partition_by="v", stable_layout=True)
+    run.run(fixed, load_id="1")
+    run.run(fixed.with_rows(spark.createDataFrame([(2, "b"), (3, "a")], "id bigint, v string")), load_id="2")
+    assert sorted(tuple(r) for r in run.dataset().t.select("id", "v").collect()) == [(1, "a"), (2, "b"), (3, "a")]

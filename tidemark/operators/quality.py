@@ -404,7 +404,7 @@ def run_metrics(pipeline, run_id: str | None = None, extra: Sequence[Metric] = (
         *METRIC_COLUMNS,
     )
     history = StoredTable(dataset.spark, dataset.root, METRICS_TABLE)
-    history.describe(found, key=[], source=None, resource=METRICS_TABLE, dropped=False, partition_by=None, buckets=None)
+    history.describe(found, key=[], source=None, resource=METRICS_TABLE, dropped=False)
     history.swap(history.append(found, run_id))
     return dataset.table(METRICS_TABLE).where(F.col("run_id") == run_id)
 

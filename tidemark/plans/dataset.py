@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from tidemark.operators.merge import same_key, without_keys
 from tidemark.operators.normalize import LOAD_ID
 from tidemark.plans import folders
+from tidemark.windows import TimeWindow
 
-BUCKET = "_bucket"
+BUCKET, PERIOD = "_bucket", "_period"
 
 # Text formats must keep the microseconds, which they do not by default.
 TEXT_OPTIONS = {
@@ -58,12 +59,25 @@ class StoredTable:
 
     @property
     def layout(self) -> str | None:
-        return BUCKET if self.info.get("buckets") else self.info.get("partition_by")
+        """The column that names the folders: a hash bucket, a period of a time column, or a column itself."""
+        if self.info.get("buckets"):
+            return BUCKET
+        return PERIOD if self.info.get("period") else self.info.get("partition_by")
+
+    @property
+    def layout_follows_key(self) -> bool:
+        """Rows of one key are always in one folder."""
+        if self.layout in (None, BUCKET) or self.info.get("stable_layout"):
+            return True
+        return (self.info["partition_by"]) in self.info["key"]
 
     def read(self, entries: Sequence[dict] | None = None, with_layout: bool = False) -> DataFrame:
         schema = self.schema
         entries = self.info["entries"] if entries is None else entries
-        stored = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())]) if self.layout == BUCKET else schema
+        hidden = {BUCKET: T.IntegerType(), PERIOD: T.DateType()}
+        stored = schema
+        if self.layout in hidden:
+            stored = T.StructType([*schema.fields, T.StructField(self.layout, hidden[self.layout])])
         if not entries:
             df = self.spark.createDataFrame([], stored)
         else:
@@ -95,6 +109,8 @@ class StoredTable:
         if layout == BUCKET:
             key = [F.col(c) for c in self.info["key"]]
             df = df.withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(self.info["buckets"])).cast("int"))
+        elif layout == PERIOD:
+            df = df.withColumn(PERIOD, F.date_trunc(self.info["period"], self.info["partition_by"]).cast("date"))
         if layout:
             df = df.hint("rebalance", F.col(layout))
         if counted is not None:
@@ -139,17 +155,16 @@ class StoredTable:
         straight = [e for e in staged if e["part"] in fresh_parts]
         mixed = self.read([e for e in staged if e["part"] not in fresh_parts], with_layout=True)
         kept = without_keys(self.read(old), batch, key)
-        rewritten = self.write_files(kept.unionByName(mixed.drop(BUCKET)), load_id)
+        rewritten = self.write_files(kept.unionByName(mixed.drop(BUCKET, PERIOD)), load_id)
         return untouched + straight + rewritten
 
     def _touched(self, batch: DataFrame, staged: list[dict], current: list[dict], key: Sequence[str]) -> set:
         parts = {e["part"] for e in staged}
-        layout = self.layout
-        if layout is None or layout == BUCKET or layout in key:
+        if self.layout_follows_key:
             return parts
-        # The layout column is not part of the key: an older row of a batch key may lie elsewhere.
-        # Only key and layout are read to find those folders.
-        stored = self.read(current).select(*key, layout)
+        # An older row of a batch key may lie in another folder. Only key and layout are read to find it.
+        layout = self.layout
+        stored = self.read(current, with_layout=True).select(*key, layout)
         probe = batch.select(*[F.col(k).alias(f"_k_{k}") for k in key])
         found = stored.join(probe, same_key(stored, probe, key, "_k_"), "left_semi").select(layout).distinct()
         values = {None if r[0] is None else str(r[0]) for r in found.collect()}
@@ -204,6 +219,17 @@ class Dataset:
             raise KeyError(f"no table {name} in {self.root}")
         return stored.read()
 
+    def table_between(self, name: str, column: str, window: TimeWindow) -> DataFrame:
+        """Rows of a window; where the table is laid out by that column, other periods are not even listed."""
+        stored = self.stored(name)
+        if not stored.exists or stored.layout != PERIOD or stored.info["partition_by"] != column:
+            return window.rows(self.table(name), column)
+        unit = stored.info["period"]
+        df = window.rows(stored.read(with_layout=True), column)
+        low, high = (F.lit(m.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp") for m in (window.start, window.end))
+        first, last = (F.date_trunc(unit, m).cast("date") for m in (low, high))
+        return df.where(F.col(PERIOD).between(first, last)).drop(PERIOD)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
@@ -300,3 +326,10 @@ def stacked(parts: Sequence[DataFrame], spark: SparkSession, schema: str) -> Dat
         out = out.unionByName(part)
     return out
 
+
+
+def rows_between(dataset, name: str, column: str, window: TimeWindow) -> DataFrame:
+    """A window of a table of a dataset, or of a plain dict of frames."""
+    if isinstance(dataset, Dataset):
+        return dataset.table_between(name, column, window)
+    return window.rows(dataset[name], column)

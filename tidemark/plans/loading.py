@@ -276,8 +276,10 @@ class Pipeline:
             info["metrics"] = [m.as_row() for m in resource.metrics] or stored.info.get("metrics", [])
         if not stored.exists:
             info["format"] = file_format
-            info["partition_by"] = None if is_child else resource.partition_by
+            by = None if is_child else resource.partition_by
+            info["partition_by"], info["period"] = by if isinstance(by, tuple) else (by, None)
             info["buckets"] = None if is_child else resource.buckets
+            info["stable_layout"] = resource.stable_layout
         stored.describe(ready, **info)
         counted = Observation()
         disposition = resource.write_disposition

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import SEVERITY_ORDER, floor_bin, last_token, position_in, remerged, severity
 from tidemark.operators.reports import group_counts, totals
+from tidemark.plans.dataset import rows_between
 from tidemark.plans.resources import Resource, source, transformation
 from tidemark.sources.features import bounded_events, feature_files
 from tidemark.windows import Incremental, TimeWindow
@@ -28,7 +29,7 @@ def quake_feeds(events_folder: str, summary_folder: str, window: TimeWindow, **s
             "id",
             incremental=cursor,
             newest="updated_at",
-            buckets=16,
+            partition_by=("time", "day"),
         ),
         Resource("feeds_summary", lambda spark: feature_files(spark, summary_folder, **scan), "replace", "id"),
     ]
@@ -48,9 +49,10 @@ def earthquake_daily_stats(dataset, window: TimeWindow | None = None, align: str
     """
     if align not in ("group", "none"):
         raise ValueError(f"align: {align}")
-    quakes = dataset["earthquakes"]
-    if window is not None:
-        quakes = (window.whole_days() if align == "group" else window).rows(quakes, "time")
+    if window is None:
+        quakes = dataset["earthquakes"]
+    else:
+        quakes = rows_between(dataset, "earthquakes", "time", window.whole_days() if align == "group" else window)
     return (
         quakes.withColumns({"day": F.col("time").cast("date"), "region": place_region("place")})
         .groupBy("day", "region")

@@ -22,8 +22,10 @@ class Resource:
     columns          per column: free annotations, and `type` for a cast
     newest           column that decides between rows of the same key in one batch
     unique_batch     a batch holds one row per key by construction, so that step is left out
-    partition_by     stored layout: one folder per value, so a merge rewrites only touched ones
+    partition_by     stored layout: one folder per value, so a merge rewrites only touched ones;
+                     or (time column, unit) for one folder per period
     buckets          stored layout by hash of the key, for keys without a natural partition
+    stable_layout    a key never moves to another folder, so a merge need not look for it elsewhere
     contract         evolve / add / freeze, see operators.normalize.reconciled
     infer_times      text columns that hold ISO instants only are stored as timestamps
     row_ids          None: row keys only where a key or nesting asks for them
@@ -38,8 +40,9 @@ class Resource:
     incremental: Incremental | None = None
     newest: str | None = None
     unique_batch: bool = False
-    partition_by: str | None = None
+    partition_by: str | tuple[str, str] | None = None
     buckets: int | None = None
+    stable_layout: bool = False
     contract: str = "evolve"
     metrics: tuple = ()
     source: str | None = None
