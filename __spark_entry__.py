@@ -20,7 +20,7 @@ from tidemark.functions import (
 )
 from tidemark.operators import curation, intervals, normalize, quality, vectors
 from tidemark.operators.quality import checks, metrics
-from tidemark.plans import Pipeline, Resource, Source, commits, quakes, shop, transformation, videos
+from tidemark.plans import Pipeline, Resource, Source, commits, paged_resource, quakes, shop, transformation, videos
 from tidemark.session import apply_settings, fresh_folder
 from tidemark.sources import bounded_events, dated, feature_files, json_pages, parquet_glob, parquet_tree
 from tidemark.streaming import landed_files, load_stream
@@ -403,6 +403,21 @@ def commits_enriched(spark, sf_dir):
     return commits.commits(_loaded_commits(spark, sf_dir).dataset()).rows(spark)
 
 
+@query(
+    """SELECT CAST(event_id AS VARCHAR) AS sha, ts AS authored_at, CASE WHEN event_type = 'error' THEN 'unknown' ELSE event_type END AS author_login,
+ value >= 100 AS is_verified, k AS comment_count, k % 3 AS parent_count
+ FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)"""
+)
+def landed_commits(spark, sf_dir):
+    """Nested JSON whose schema, and which text is a time, is found from the data."""
+    folder = fresh_folder(spark, "landed")
+    raw_commits(spark, sf_dir).write.option("timestampNTZFormat", MICROSECONDS).json(folder)
+    run = pipeline(spark, "landed")
+    run.run(paged_resource("commits", folder, multi_line=False, primary_key="sha", infer_times=True), load_id="1")
+    flat = commits.commits(run.dataset()).rows(spark).withColumn("authored_at", F.col("authored_at").cast("timestamp_ntz"))
+    return flat.select("sha", "authored_at", "author_login", "is_verified", "comment_count", "parent_count")
+
+
 @query(
     """SELECT sha256('{"sha":"' || event_id || '"}') AS _parent_id, CAST(json_extract(props, '$.k') AS BIGINT) % 3 AS parent_count
  FROM events WHERE CAST(json_extract(props, '$.k') AS BIGINT) % 3 > 0"""
@@ -1033,6 +1048,17 @@ def stored_check_results(spark, sf_dir):
     return run.dataset()["check_results"].drop("_load_id")
 
 
+@query(LINE_RESULTS_SQL)
+def quality_gate(spark, sf_dir):
+    """The gate stops on failed rules and carries one row per rule."""
+    suite = quality.CheckSuite({"lineitem": table(spark, sf_dir, "lineitem")}, {"lineitem": LINE_RULES})
+    try:
+        found = suite.gate()
+    except quality.DataQualityError as stopped:
+        found = stopped.results
+    return spark.createDataFrame(found)
+
+
 METRICS_SQL = f"""WITH c AS {CATALOGUE_SQL}
  SELECT 'catalogue' AS table_name, 'table' AS level, CAST(NULL AS VARCHAR) AS column_name, 'row_count' AS metric, CAST(count(*) AS DOUBLE) AS value FROM c
  UNION ALL SELECT 'catalogue', 'column', 'quality', 'null_count', CAST(count(*) - count(quality) AS DOUBLE) FROM c
@@ -1144,6 +1170,15 @@ def embedded_text(spark, sf_dir):
     return vectors.embedded(documents, {"text": "vector"}).select("doc_id", "vector")
 
 
+@query("SELECT doc_id, CASE WHEN trim(text) = '' THEN 0.0 ELSE 1.0 END AS length, 64 AS dimensions FROM documents")
+def embedded_lengths(spark, sf_dir):
+    """Every text gives a vector of length 1, an empty one the zero vector."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vector = vectors.embedded(documents, {"text": "vector"})
+    square = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    return vector.select("doc_id", F.round(F.sqrt(square), 3).alias("length"), F.size("vector").alias("dimensions"))
+
+
 @query(
     """WITH q AS (SELECT label, min(vec_id) AS query_id, arg_min(embedding, vec_id) AS qe FROM embeddings GROUP BY label)
  SELECT query_id, vec_id, round(score, 5) AS score FROM (SELECT query_id, vec_id, score,

@@ -8,6 +8,7 @@ A NULL outcome is a failure.
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -372,8 +373,6 @@ def run_metrics(pipeline, run_id: str | None = None, extra: Sequence[Metric] = (
 
     `extra` may hold dataset-level metrics. Returns the rows of this run.
     """
-    import time
-
     from tidemark.plans.dataset import StoredTable
 
     dataset = pipeline.dataset()

@@ -8,6 +8,7 @@ per table is assumed.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
@@ -39,6 +40,11 @@ LOADS_SCHEMA = (
 )
 
 
+def file_name(load_id: str) -> str:
+    """A load id with the characters that paths do not allow replaced."""
+    return re.sub(r"[^A-Za-z0-9._-]", "_", load_id)
+
+
 class StoredTable:
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark, self.name = spark, name
@@ -104,7 +110,7 @@ class StoredTable:
 
         Rows are counted in the last stage, where a task that is run again counts once.
         """
-        folder = f"_version={load_id}-{uuid.uuid4().hex[:8]}"
+        folder = f"_version={file_name(load_id)}-{uuid.uuid4().hex[:8]}"
         layout = self.layout
         if layout == BUCKET:
             key = [F.col(c) for c in self.info["key"]]

@@ -29,7 +29,7 @@ from tidemark.operators.normalize import (
     with_row_keys,
 )
 from tidemark.plans import folders
-from tidemark.plans.dataset import Dataset, StoredTable
+from tidemark.plans.dataset import Dataset, StoredTable, file_name
 from tidemark.plans.resources import Resource, Source
 from tidemark.session import fresh_folder
 from tidemark.windows import Incremental, as_utc
@@ -122,7 +122,7 @@ class Pipeline:
         if refresh is not None and refresh not in REFRESH_MODES:
             raise ValueError(f"refresh: {refresh}")
         load_id = load_id or f"{time.time():.6f}"
-        log = f"{self.root}/_loads/{load_id}.json"
+        log = f"{self.root}/_loads/{file_name(load_id)}.json"
         done = folders.read_text(self.spark, log)
         if done is not None:
             rows = [json.loads(line) for line in done.splitlines()]
