@@ -47,8 +47,8 @@ def test_merge_rewrites_only_touched_partitions(spark, run):
     before = {e["part"]: e["dir"] for e in run.dataset().stored("t").info["entries"]}
     run.run(target(frame(spark, [(2, "c")]), partition_by="v"), load_id="2")
     after = {e["part"]: e["dir"] for e in run.dataset().stored("t").info["entries"]}
-    assert after["v=a"] == before["v=a"]
-    assert "v=b" not in after and after["v=c"] != before["v=c"]
+    assert after["_part=a"] == before["_part=a"]
+    assert "_part=b" not in after and after["_part=c"] != before["_part=c"]
     assert sorted(tuple(r) for r in run.dataset().t.select("id", "v").collect()) == [(1, "a"), (2, "c"), (3, "c")]
 
 
@@ -226,7 +226,7 @@ def test_file_formats_keep_values(spark, run, kind):
 
 def test_arrow_in_and_results_out(spark, run):
     run.run(pa.table({"a": [1, 2]}), table_name="x")
-    stored = run.dataset().x
+    stored = run.dataset().x.orderBy("a")
     assert stored.select("a").toArrow().to_pydict() == {"a": [1, 2]}
     assert stored.select("a").toPandas()["a"].tolist() == [1, 2]
     assert [tuple(r) for r in stored.select("a").limit(1).collect()] in ([(1,)], [(2,)])
@@ -282,3 +282,31 @@ def test_stable_layout_skips_the_search(spark, run):
     run.run(fixed, load_id="1")
     run.run(fixed.with_rows(spark.createDataFrame([(2, "b"), (3, "a")], "id bigint, v string")), load_id="2")
     assert sorted(tuple(r) for r in run.dataset().t.select("id", "v").collect()) == [(1, "a"), (2, "b"), (3, "a")]
+
+
+@pytest.mark.parametrize("limit", [0, 200_000])
+def test_small_and_large_batches_merge_alike(spark, run, rows, monkeypatch, limit):
+    monkeypatch.setattr("tidemark.plans.dataset.SMALL_BATCH_ROWS", limit)
+    everything = spark.range(1000).select("id", F.lit("old").alias("v"))
+    batch = spark.range(500, 1500, 5).select("id", F.lit("new").alias("v"))
+    for layout in ({}, {"buckets": 4}, {"partition_by": "v"}):
+        name = "t" + "".join(layout)
+        run.run(target(everything, table_name=name, **layout))
+        for _ in range(2):
+            run.run(target(batch, table_name=name, **layout))
+        table = run.dataset()[name]
+        assert table.count() == 1100 and table.select("id").distinct().count() == 1100
+        assert table.where("v = 'new'").count() == 200
+
+
+@pytest.mark.parametrize("kind,values", [("string", ["", "a b/c=d", "é", None]), ("boolean", [True, False, None, True]), ("date", None), ("double", [0.5, -1.0, None, 1e20])])
+def test_layout_keeps_values_and_finds_old_rows(spark, run, rows, kind, values):
+    from datetime import date
+
+    values = values or [date(2024, 1, 1), None, date(1999, 12, 31), date(2024, 1, 1)]
+    df = spark.createDataFrame(list(enumerate(values)), f"id bigint, v {kind}")
+    run.run(target(df, partition_by="v"), load_id="1")
+    assert rows(run.dataset().t, "id", "v") == sorted(enumerate(values), key=repr)
+    moved = spark.createDataFrame([(i, values[(i + 1) % 4]) for i in range(4)], f"id bigint, v {kind}")
+    run.run(target(moved, partition_by="v"), load_id="2")
+    assert rows(run.dataset().t, "id", "v") == rows(moved)

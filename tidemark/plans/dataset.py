@@ -20,7 +20,15 @@ from tidemark.operators.normalize import LOAD_ID
 from tidemark.plans import folders
 from tidemark.windows import TimeWindow
 
-BUCKET, PERIOD = "_bucket", "_period"
+# Hidden layout columns: a hash bucket, a period of a time column, a copy of a text column
+# (a folder name cannot tell an empty text from NULL, so the column itself stays in the files).
+BUCKET, PERIOD, PART = "_bucket", "_period", "_part"
+HIDDEN = {BUCKET: T.IntegerType(), PERIOD: T.DateType(), PART: T.StringType()}
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+# A merge broadcasts the keys of its batch only below both of these, and joins by shuffle above.
+SMALL_BATCH_ROWS = 200_000
+SMALL_BATCH_BYTES = 64 * 1024 * 1024
 
 # Text formats must keep the microseconds, which they do not by default.
 TEXT_OPTIONS = {
@@ -65,25 +73,29 @@ class StoredTable:
 
     @property
     def layout(self) -> str | None:
-        """The column that names the folders: a hash bucket, a period of a time column, or a column itself."""
+        """The column that names the folders: a hidden one, or a stored column that is not text."""
+        column = self.info.get("partition_by")
         if self.info.get("buckets"):
             return BUCKET
-        return PERIOD if self.info.get("period") else self.info.get("partition_by")
+        if self.info.get("period"):
+            return PERIOD
+        if column and T.StructType.fromJson(self.info["schema"])[column].dataType == T.StringType():
+            return PART
+        return column
 
     @property
     def layout_follows_key(self) -> bool:
         """Rows of one key are always in one folder."""
         if self.layout in (None, BUCKET) or self.info.get("stable_layout"):
             return True
-        return (self.info["partition_by"]) in self.info["key"]
+        return self.info["partition_by"] in self.info["key"]
 
     def read(self, entries: Sequence[dict] | None = None, with_layout: bool = False) -> DataFrame:
         schema = self.schema
         entries = self.info["entries"] if entries is None else entries
-        hidden = {BUCKET: T.IntegerType(), PERIOD: T.DateType()}
         stored = schema
-        if self.layout in hidden:
-            stored = T.StructType([*schema.fields, T.StructField(self.layout, hidden[self.layout])])
+        if self.layout in HIDDEN:
+            stored = T.StructType([*schema.fields, T.StructField(self.layout, HIDDEN[self.layout])])
         if not entries:
             df = self.spark.createDataFrame([], stored)
         else:
@@ -105,9 +117,12 @@ class StoredTable:
             field["nullable"] = True
         self.info.update(info)
 
-    def write_files(self, df: DataFrame, load_id: str, counted: Observation | None = None) -> list[dict]:
+    def write_files(
+        self, df: DataFrame, load_id: str, counted: Observation | None = None, gather: bool = True
+    ) -> list[dict]:
         """Write a new folder and return its entries, one per layout value.
 
+        `gather` brings the rows of a folder together, in pieces of a sensible file size.
         Rows are counted in the last stage, where a task that is run again counts once.
         """
         folder = f"_version={file_name(load_id)}-{uuid.uuid4().hex[:8]}"
@@ -117,7 +132,9 @@ class StoredTable:
             df = df.withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(self.info["buckets"])).cast("int"))
         elif layout == PERIOD:
             df = df.withColumn(PERIOD, F.date_trunc(self.info["period"], self.info["partition_by"]).cast("date"))
-        if layout:
+        elif layout == PART:
+            df = df.withColumn(PART, F.col(self.info["partition_by"]))
+        if layout and gather:
             df = df.hint("rebalance", F.col(layout))
         if counted is not None:
             df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
@@ -146,40 +163,41 @@ class StoredTable:
     def merge(
         self, df: DataFrame, load_id: str, key: Sequence[str], counted: Observation | None = None
     ) -> list[dict]:
-        """Update or insert. Only layout folders that hold an old or new row of the batch are rewritten."""
+        """Update or insert. The batch is written once; of the layout folders it touches, the rows it
+        does not replace are written again next to it. Other folders stay as they are."""
         staged = self.write_files(df, load_id, counted)
         current = self.info["entries"]
         if not current:
             return staged
-        batch = self.read(staged, with_layout=True)
-        touched = self._touched(batch, staged, current, key)
+        keys = self.read(staged).select(*key)
+        small = counted is not None and self._is_small(staged, counted.get.get("rows", 0))
+        if small:
+            keys = F.broadcast(keys)
+        touched = self._touched(keys, staged, current, key)
         old = [e for e in current if e["part"] in touched]
-        if not old:
-            return current + staged
-        fresh_parts = touched - {e["part"] for e in old}
         untouched = [e for e in current if e["part"] not in touched]
-        straight = [e for e in staged if e["part"] in fresh_parts]
-        mixed = self.read([e for e in staged if e["part"] not in fresh_parts], with_layout=True)
-        kept = without_keys(self.read(old), batch, key)
-        rewritten = self.write_files(kept.unionByName(mixed.drop(BUCKET, PERIOD)), load_id)
-        return untouched + straight + rewritten
+        if not old:
+            return untouched + staged
+        kept = without_keys(self.read(old), keys, key)
+        # Beside a broadcast batch the kept rows stay in scan order, folder by folder.
+        return untouched + staged + self.write_files(kept, load_id, gather=not small)
+
+    def _is_small(self, entries: Sequence[dict], rows: int) -> bool:
+        if rows > SMALL_BATCH_ROWS:
+            return False
+        return sum(folders.size(self.spark, f"{self.folder}/{e['dir']}") for e in entries) <= SMALL_BATCH_BYTES
 
-    def _touched(self, batch: DataFrame, staged: list[dict], current: list[dict], key: Sequence[str]) -> set:
+    def _touched(self, keys: DataFrame, staged: list[dict], current: list[dict], key: Sequence[str]) -> set:
         parts = {e["part"] for e in staged}
         if self.layout_follows_key:
             return parts
         # An older row of a batch key may lie in another folder. Only key and layout are read to find it.
         layout = self.layout
         stored = self.read(current, with_layout=True).select(*key, layout)
-        probe = batch.select(*[F.col(k).alias(f"_k_{k}") for k in key])
-        found = stored.join(probe, same_key(stored, probe, key, "_k_"), "left_semi").select(layout).distinct()
-        values = {None if r[0] is None else str(r[0]) for r in found.collect()}
-        for entry in current:
-            text = unquote(entry["part"].split("=", 1)[1])
-            value = None if text == "__HIVE_DEFAULT_PARTITION__" else text
-            if value in values:
-                parts.add(entry["part"])
-        return parts
+        probe = keys.select(*[F.col(k).alias(f"_k_{k}") for k in key])
+        found = stored.join(probe, same_key(stored, probe, key, "_k_"), "left_semi")
+        values = {r[0] or NULL_FOLDER for r in found.select(F.col(layout).cast("string")).distinct().collect()}
+        return parts | {e["part"] for e in current if unquote(e["part"].split("=", 1)[1]) in values}
 
     def merge_children(
         self, df: DataFrame, load_id: str, parent_ids: DataFrame, link: str, counted: Observation | None = None
