@@ -1202,9 +1202,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return _QUERIES["stored_customer_orders"](spark, SMALLEST)
 
 
+def _corpus_queries() -> tuple[dict, dict]:
+    """Queries of the corpus operators and their SQL; none where that part is not installed."""
+    optional = {"tidemark.llm", "tidemark.llm.queries", "corpus_pipeline"}
+    try:
+        import corpus_pipeline
+        from tidemark.llm.queries import ORACLE, QUERIES
+    except ModuleNotFoundError as missing:
+        if missing.name not in optional:
+            raise
+        return {}, {}
+    sql = dict(ORACLE)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_corpus_queries()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    return {**_ORACLE, **_corpus_queries()[1]}
