@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact
-from tidemark.llm.common import table, utf8
+from tidemark.llm import exact, quality, toxicity
+from tidemark.llm.common import Scratch, table, utf8
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -29,3 +29,40 @@ def query(sql: str | None = None):
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(utf8("text"), 256).alias("text_sha256"))
     return exact.radix_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def remainder(column: str, n: int):
+    """crc32 of the id as text, mod n."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % n
+
+
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0)
+    # The statistics are a hundredth of the texts: they are taken once, written, and used for both steps.
+    rows, _ = Scratch(spark, "quality").keep(quality.with_statistics(docs, "text", ["doc_id"]))
+    train = rows.join(labels.select(F.col("doc_id").alias("c0"), F.col("quality").alias("label")), "c0")
+    scores = quality.scored(rows, quality.fit(train, F.col("label")))
+    return scores.select(
+        F.col("c0").alias("doc_id"),
+        (remainder("c0", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1)
+    model = toxicity.fit(docs, labels, label_col="toxic")
+    return toxicity.scored(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 3) == 1).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.7).cast("int").alias("predicted"),
+        "sentence_start",
+        "sentence_end",
+        "sentence_score",
+    )
