@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, quality, toxicity
+from tidemark.llm import bpe, exact, quality, toxicity
 from tidemark.llm.common import Scratch, table, utf8
 
 QUERIES: dict = {}
@@ -66,3 +67,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sentence_end",
         "sentence_score",
     )
+
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+@query()
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encoded(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, keep=["doc_id"])
