@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, exact, quality, toxicity
+from tidemark.llm import bpe, exact, neardup, quality, toxicity
 from tidemark.llm.common import Scratch, table, utf8
 
 QUERIES: dict = {}
@@ -76,3 +76,8 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encoded(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, keep=["doc_id"])
+
+
+@query()
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=2)
