@@ -53,11 +53,11 @@ def radix_groups(
         dealt = rows.withColumn("digit", F.substring("bytes", at + 1, width))
         counted = dealt.groupBy("group", "digit").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         shared, _ = scratch.keep(counted.withColumn("next", F.monotonically_increasing_id()))
-        split = dealt.join(shared, ["group", "digit"], "left")
+        split = dealt.join(shared.hint("shuffle_hash"), ["group", "digit"], "left")
         done.append(split.where("size IS NULL").select(*carried, F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")))
         at += width
         # The tag tells apart rows that agree in everything; it is fixed by being written.
-        left = dealt.join(shared, ["group", "digit"]).select(
+        left = dealt.join(shared.hint("shuffle_hash"), ["group", "digit"]).select(
             *carried, "id", "bytes", F.col("next").alias("group"), F.monotonically_increasing_id().alias("tag")
         )
         left, _ = scratch.keep(left)
@@ -79,7 +79,7 @@ def _closed(scratch: Scratch, rows: DataFrame, carried: dict[str, str]) -> DataF
     best, _ = scratch.keep(
         rows.groupBy("group").agg(F.max(F.struct("id", "tag")).alias("best"), F.count(F.lit(1)).alias("group_size"))
     )
-    return rows.join(best, "group").select(
+    return rows.join(best.hint("shuffle_hash"), "group").select(
         *carried,
         F.col("best.id").alias("keep_id"),
         "group_size",

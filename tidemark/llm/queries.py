@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, exact, neardup, quality, toxicity
+from tidemark.llm import bpe, decontaminate, exact, neardup, quality, toxicity
 from tidemark.llm.common import Scratch, table, utf8
 
 QUERIES: dict = {}
@@ -81,3 +81,22 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=2)
+
+
+def _shingles_sql(table_name: str, id_col: str, text: str = "text") -> str:
+    lowered = f"translate(coalesce({text}, ''), '{decontaminate.UPPER}', '{decontaminate.LOWER}')"
+    return f"""SELECT DISTINCT {id_col}, unnest(CASE WHEN len(w) >= 5
+ THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+ WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+ FROM (SELECT {id_col}, list_filter(string_split_regex({lowered}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {table_name})"""
+
+
+@query(
+    f"""WITH d AS ({_shingles_sql("documents", "doc_id")}), b AS ({_shingles_sql("benchmark", "item_id")}),
+ size AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id)
+ SELECT doc_id, item_id, n_item, count(*) AS n_shared, count(*) / n_item AS containment
+ FROM d JOIN b USING (shingle) JOIN size USING (item_id)
+ GROUP BY doc_id, item_id, n_item HAVING 100 * count(*) >= 80 * n_item"""
+)
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

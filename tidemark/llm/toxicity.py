@@ -98,20 +98,26 @@ class Model:
 
 
 def train(
-    bags: list[list[list[int]]], plain: list[int], labels: list[int], weight: list[float], n_words: int, steps: int = 300, rate: float = 0.3, prior: float = 4.0
+    features: np.ndarray,
+    lengths: np.ndarray,
+    bags: np.ndarray,
+    plain: np.ndarray,
+    y: np.ndarray,
+    importance: np.ndarray,
+    n_words: int,
+    steps: int = 300,
+    rate: float = 0.3,
+    prior: float = 4.0,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias that maximise the noisy-or likelihood, by Adam on all bags at once.
 
-    `bags` has the sentences with known features of each document, `plain` the number of
-    its other sentences, `weight` how many documents it stands for.
-    Weights have a normal prior of the deviation `prior`.
+    `features` lists those of all sentences one after another, `lengths` how many each
+    sentence has, `bags` how many such sentences each document has, and `plain` how many
+    without any known feature: they differ in nothing and enter as a count. `y` has the
+    labels, `importance` how many documents each stands for. Weights have a normal prior
+    of the deviation `prior`.
     """
-    owner = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-    flat = [s for b in bags for s in b]
-    rows = np.repeat(np.arange(len(flat)), [len(s) for s in flat])
-    cols = np.array([f for s in flat for f in s], np.int64)
-    plain = np.array(plain, float)
-    y, importance = np.array(labels, float), np.array(weight, float)
+    owner, rows, cols = np.repeat(np.arange(len(bags)), bags), np.repeat(np.arange(len(lengths)), lengths), features
     weights, bias = np.zeros(n_words), -4.0
     moment = np.zeros((2, n_words + 1))
     for step in range(1, steps + 1):
@@ -183,15 +189,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for batch in batches:
             bags = [[lookup.bag(t[a:b]) for a, b in sentences(t)] for t in batch["text"].fillna("")]
             yield batch[["label", "weight"]].assign(
-                plain=[sum(1 for s in b if not s) for b in bags], bag=[[s for s in b if s] for b in bags]
+                plain=[sum(1 for s in b if not s) for b in bags],
+                lengths=[np.array([len(s) for s in b if s], np.int32).tobytes() for b in bags],
+                features=[np.array([f for s in b for f in s], np.int32).tobytes() for b in bags],
             )
 
     # Bounded by the sample: one row per document, numbers of known features only.
-    rows = rows.mapInPandas(bagged, "label int, weight double, plain long, bag array<array<int>>").collect() if chosen else []
+    rows = rows.mapInPandas(bagged, "label int, weight double, plain long, lengths binary, features binary").collect() if chosen else []
     if not rows:
         return Model({}, np.zeros(0), -6.0)
-    rows.sort(key=lambda r: (r["label"], r["plain"], r["bag"]))
-    weights, bias = train([r["bag"] for r in rows], [r["plain"] for r in rows], [r["label"] for r in rows], [r["weight"] for r in rows], len(chosen))
+    rows.sort()
+    lengths, features = ([np.frombuffer(r[name], np.int32) for r in rows] for name in ("lengths", "features"))
+    weights, bias = train(
+        np.concatenate(features),
+        np.concatenate(lengths),
+        np.array([len(x) for x in lengths]),
+        np.array([r["plain"] for r in rows], float),
+        np.array([r["label"] for r in rows], float),
+        np.array([r["weight"] for r in rows]),
+        len(chosen),
+    )
     return Model(index, weights, bias)
 
 
