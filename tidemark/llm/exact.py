@@ -7,7 +7,8 @@ then they are equal. The length in bytes is the first digit, so that all texts o
 group end in the same round. Equality rests on the bytes alone, no digest is taken.
 
 A group is never gathered in a task: groups are counted with partial aggregates and
-joined back to their rows, and the join of a hot group is one that Spark may split.
+joined back to their rows, and the join of a hot group is one that Spark may split. The
+small side is hashed, so the texts are not sorted, and the join is the same at every size.
 Digits grow from round to round, since few groups of different texts stay open for
 long; texts of any length end after a number of rounds that is the logarithm of it.
 """
