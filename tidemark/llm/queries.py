@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, exact, neardup, quality, toxicity
+from tidemark.llm import bpe, decontaminate, exact, neardup, pages, quality, toxicity
 from tidemark.llm.common import Scratch, table, utf8
 
 QUERIES: dict = {}
@@ -100,3 +100,9 @@ def _shingles_sql(table_name: str, id_col: str, text: str = "text") -> str:
 )
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return pages.main_texts(rows, pages.fit(rows))
