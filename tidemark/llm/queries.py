@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, exact, neardup, pages, quality, toxicity
+from tidemark.llm import bpe, decontaminate, exact, neardup, pages, quality, toxicity, warc
 from tidemark.llm.common import Scratch, table, utf8
 
 QUERIES: dict = {}
@@ -106,3 +106,27 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return pages.main_texts(rows, pages.fit(rows))
+
+
+PAGES_PER_FILE = 256
+
+_HEAD_SQL = (
+    r"'WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:record:' || page_id || '>\r\nWARC-Target-URI: ' || coalesce(url, '') "
+    r"|| '\r\nContent-Length: ' || strlen(coalesce(html, '')) || '\r\n\r\n\r\n\r\n'"
+).replace(r"\r\n", "' || chr(13) || chr(10) || '")
+
+
+@query(
+    f"""WITH r AS (SELECT page_id, page_id // {PAGES_PER_FILE} AS file, strlen({_HEAD_SQL}) + strlen(coalesce(html, '')) AS size FROM pages),
+ placed AS (SELECT page_id, file, coalesce(sum(size) OVER (PARTITION BY file ORDER BY page_id
+ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "offset" FROM r)
+ SELECT page_id, file, CAST("offset" AS BIGINT) AS "offset", CASE WHEN page_id % 89 = 3 THEN 'missing' ELSE 'changed' END AS fault
+ FROM placed WHERE page_id % 89 = 3 OR page_id % 97 = 5"""
+)
+def op3_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as archives, against a replica that lost some records and changed one byte of others."""
+    ours = warc.archived(table(spark, sf_dir, "pages"), PAGES_PER_FILE, "page_id", "url", "html")
+    flipped = F.concat(F.lit(b"w"), F.substring("record", 2, 2**31 - 1))
+    theirs = ours.where("id % 89 <> 3").withColumn("record", F.when(F.col("id") % 97 == 5, flipped).otherwise(F.col("record")))
+    found = warc.audit(ours.drop("id"), theirs.drop("id"))
+    return found.join(ours.select("file", "offset", F.col("id").alias("page_id")), ["file", "offset"]).select("page_id", "file", "offset", "fault")
