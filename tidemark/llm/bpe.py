@@ -3,8 +3,8 @@
 Texts are dealt into blocks of bounded size. A block lists its distinct pre-tokens once
 and sends them, by hash, to the tasks that encode: a word that occurs in every document
 of the corpus reaches its task once per block, not once per occurrence, and is encoded
-there once. The ids travel back to the blocks that asked, in the order they asked in, and
-each block puts them in place of the pre-tokens of its texts, by position. Decoding looks
+there once. Words and ids travel back to the blocks that asked, and each block puts the
+ids in place of the pre-tokens of its texts, by position. Decoding looks
 every id up in the table of token bytes, which the vocabulary bounds.
 """
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +29,9 @@ BLOCK_BYTES = 16 << 20
 """Bytes of text in a block, on average. A longer text is a block's work by itself."""
 
 
+RESULT = ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")
+
+
 @lru_cache(maxsize=2)
 def ranks(path: str) -> dict[bytes, int]:
     """The vocabulary file: a base64 token and its rank per line. Read in each task, never shipped."""
@@ -89,10 +93,6 @@ def unpack(value: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip(places, places[1:])]
 
 
-def bucket_of(word: str, buckets: int) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") % buckets
-
-
 def encoded(
     docs: DataFrame,
     path: str,
@@ -118,9 +118,12 @@ def encoded(
     )
 
     def ask(block: pd.DataFrame) -> pd.DataFrame:
+        find, words = regex.compile(pattern).findall, set()
+        for text in block["text"]:
+            words.update(find(text))
         parts: dict[int, list[bytes]] = {}
-        for word in words_of_block(block["text"], pattern):
-            parts.setdefault(bucket_of(word, blocks), []).append(word.encode())
+        for word in map(str.encode, sorted(words)):
+            parts.setdefault(zlib.crc32(word) % blocks, []).append(word)
         number = int(block["block"].iloc[0])
         return pd.DataFrame({"bucket": list(parts), "block": number, "words": [pack(w) for w in parts.values()]})
 
@@ -131,48 +134,34 @@ def encoded(
             for word in unpack(value):
                 found = known.get(word)
                 if found is None:
-                    found = known[word] = np.array(merge(word, table), np.uint32).tobytes()
+                    found = known[word] = b",".join([b"%d" % i for i in merge(word, table)])
                 ids.append(found)
             replies.append(pack(ids))
-        return pd.DataFrame({"block": bucket["block"], "bucket": bucket["bucket"], "ids": replies})
+        return pd.DataFrame({"block": bucket["block"], "words": bucket["words"], "ids": replies})
 
     def reassemble(block: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        tokens = {rank: token for token, rank in ranks(path).items()}
-        asked: dict[int, list[str]] = {}
-        for word in words_of_block(block["text"], pattern):
-            asked.setdefault(bucket_of(word, blocks), []).append(word)
-        known = {}
-        for bucket, value in zip(replies["bucket"], replies["ids"]):
-            for word, ids in zip(asked[bucket], unpack(value)):
-                ids = np.frombuffer(ids, np.uint32)
-                known[word] = (len(ids), ",".join(map(str, ids.tolist())), b"".join([tokens[i] for i in ids.tolist()]), ids)
+        tokens = {b"%d" % rank: token for token, rank in ranks(path).items()}
+        known: dict[str, tuple[bytes, bytes]] = {}
+        for words, values in zip(replies["words"], replies["ids"]):
+            for word, ids in zip(unpack(words), unpack(values)):
+                known[word.decode()] = (ids, b"".join([tokens[i] for i in ids.split(b",")]))
         find, out = regex.compile(pattern).findall, {name: [] for name in (RESULT if with_ids else RESULT[:3])}
         for text in block["text"]:
-            hits = [known[w] for w in find(text)]
-            decoded = b"".join([h[2] for h in hits])
-            out["n_tokens"].append(sum(h[0] for h in hits))
-            out["ids_sha256"].append(hashlib.sha256(",".join([h[1] for h in hits]).encode()).hexdigest())
+            hits = [known[word] for word in find(text)]
+            ids, decoded = map(bytes.join, (b",", b""), zip(*hits)) if hits else (b"", b"")
+            out["n_tokens"].append(ids.count(b",") + 1 if hits else 0)
+            out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
             out["decoded_sha256"].append(hashlib.sha256(decoded).hexdigest())
             if with_ids:
-                out["ids"].append(np.concatenate([h[3] for h in hits]).astype(np.int32) if hits else np.zeros(0, np.int32))
+                out["ids"].append(np.array(ids.split(b",") if hits else [], np.int32))
                 out["decoded"].append(decoded)
         return block.drop(columns=["block", "text"]).assign(**out)
 
-    requests = rows.select("block", "text").groupBy("block").applyInPandas(ask, "bucket long, block long, words binary")
-    replies = requests.groupBy("bucket").applyInPandas(answer, "block long, bucket long, ids binary")
+    # Both uses of the dealt rows read one shuffle.
+    requests = rows.groupBy("block").applyInPandas(ask, "bucket long, block long, words binary")
+    replies = requests.groupBy("bucket").applyInPandas(answer, "block long, words binary, ids binary")
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
     schema = ", ".join(x for x in (kept, "n_tokens long, ids_sha256 string, decoded_sha256 string", "ids array<int>, decoded binary" * with_ids) if x)
     out = rows.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(reassemble, schema)
     results = out.columns[len(names) :]
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], *results)
-
-
-RESULT = ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")
-
-
-def words_of_block(texts: pd.Series, pattern: str) -> list[str]:
-    """Distinct pre-tokens of a block, in an order that depends on its texts alone."""
-    find, words = regex.compile(pattern).findall, set()
-    for text in texts:
-        words.update(find(text))
-    return sorted(words)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, exact, neardup, pages, quality, toxicity, warc
+from tidemark.llm import bpe, decontaminate, exact, neardup, pages, quality, repeats, toxicity, warc
 from tidemark.llm.common import Scratch, table, utf8
 
 QUERIES: dict = {}
@@ -130,3 +130,8 @@ def op3_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     theirs = ours.where("id % 89 <> 3").withColumn("record", F.when(F.col("id") % 97 == 5, flipped).otherwise(F.col("record")))
     found = warc.audit(ours.drop("id"), theirs.drop("id"))
     return found.join(ours.select("file", "offset", F.col("id").alias("page_id")), ["file", "offset"]).select("page_id", "file", "offset", "fault")
+
+
+@query()
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_removed(table(spark, sf_dir, "documents"))

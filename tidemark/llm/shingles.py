@@ -10,8 +10,8 @@ from __future__ import annotations
 import numpy as np
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(BASE, -1, 1 << 64)
 # A random odd number for each byte, so that neighbouring letters are far apart.
 _BYTE = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _SPACE = np.zeros(256, bool)
@@ -44,7 +44,7 @@ def running(data: np.ndarray) -> np.ndarray:
 
 def ranges(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A number for the bytes of each range, the same wherever they stand."""
-    return mix((sums[end] - sums[start]) * powers(_BASE, len(sums))[start] + (end - start).astype(np.uint64))
+    return mix((sums[end] - sums[start]) * powers(BASE, len(sums))[start] + (end - start).astype(np.uint64))
 
 
 def word_numbers(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
