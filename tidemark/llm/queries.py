@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, exact, neardup, pages, quality, repeats, toxicity, warc
+from tidemark.llm import bpe, decontaminate, exact, neardup, pages, quality, repeats, suffix_tree, toxicity, warc
 from tidemark.llm.common import Scratch, table, utf8
 
 QUERIES: dict = {}
@@ -135,3 +135,9 @@ def op3_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats_removed(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
+    return suffix_tree.scored(table(spark, sf_dir, "documents"), held_out)
