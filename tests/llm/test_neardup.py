@@ -1,0 +1,100 @@
+import random
+
+import numpy as np
+
+from tests.llm.helpers import ODD, frame
+from tidemark.llm import neardup, superminhash
+from tidemark.llm.common import Scratch
+from tidemark.llm.graph import components
+from tidemark.llm.shingles import shingles
+
+
+def brute(rows, k, threshold=80):
+    sets = []
+    for _, text in rows:
+        w = (text or "").encode().lower().split()
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set())
+    ids = [r[0] for r in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if ids[i] is not None and ids[j] is not None and both and both * 100 >= threshold * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    smallest = {}
+    for i, r in enumerate(root):
+        if ids[i] is not None:
+            smallest[r] = min(smallest.get(r, ids[i]), ids[i])
+    return sorted(((ids[i], len(sets[i]), smallest.get(root[i])) for i in range(len(rows))), key=repr)
+
+
+def found(df, k):
+    rows = neardup.near_duplicates(df, k=k).collect()
+    assert all(r["kept"] == (r["component_id"] is None or r["doc_id"] == r["component_id"]) for r in rows)
+    return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows), key=repr)
+
+
+def edited(r, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[r.randrange(len(words))] = f"new{r.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_against_all_pairs(spark):
+    r = random.Random(1)
+    rows, i = [], 0
+    for _ in range(6):
+        base = [f"w{r.randrange(500)}" for _ in range(r.choice([8, 40, 120]))]
+        for _ in range(14):
+            rows.append((i, edited(r, base, r.choice([0, 0, 1, 2, 4, 9]))))
+            i += r.randint(1, 3)
+    for k in (2, 5):
+        assert found(frame(spark, rows), k) == brute(rows, k)
+
+
+def test_chain_and_hot_group_in_blocks(spark, monkeypatch):
+    """Small blocks and no centre rounds that find all: the blocks have to."""
+    monkeypatch.setattr(neardup, "QUERY_SHINGLES", 300)
+    monkeypatch.setattr(neardup, "TARGET_SHINGLES", 500)
+    r = random.Random(2)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(j, " ".join([*words[j:], *(f"x{j}y{t}" for t in range(j))])) for j in range(12)]
+    rows += [(100 + j, edited(r, words, 6)) for j in range(80)]
+    assert found(frame(spark, rows), 2) == brute(rows, 2)
+
+
+def test_odd_rows_and_empty(spark):
+    assert found(frame(spark, ODD), 5) == brute(ODD, 5)
+    assert found(frame(spark, []), 5) == []
+    assert found(frame(spark, [(1, None), (2, " ")]), 2) == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_signature_estimates_similarity():
+    r = np.random.default_rng(3)
+    common, a, b = (r.integers(0, 2**63, n, dtype=np.uint64) for n in (600, 200, 200))
+    numbers = np.concatenate([common, a, common, b])
+    owners = np.repeat([0, 1], 800)
+    v = superminhash.signatures(numbers, owners, 2, 256)
+    assert abs((v[0] == v[1]).mean() - 0.6) < 0.1
+    # A set in two parts has the signature of the whole, whatever the order.
+    order = r.permutation(800)
+    assert (superminhash.signatures(numbers[:800][order], owners[:800], 1, 256)[0] == v[0]).all()
+    assert np.isfinite(superminhash.signatures(common[:1], owners[:1], 1, 64)).all()
+
+
+def test_shingles_do_not_depend_on_neighbours():
+    texts = [b"a b c d", b"", b"A  b\tc d", b"x"]
+    numbers, owners = shingles(texts, 2)
+    alone = [set(shingles([t], 2)[0].tolist()) for t in texts]
+    assert [set(numbers[owners == i].tolist()) for i in range(4)] == alone
+    assert alone[0] == alone[2] and len(alone[0]) == 3 and len(alone[3]) == 1
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(50, 90)] + [(5, 80), (1, 2), (2, 1), (3, 3), (7, 9), (9, 8)] + [(200, 300 + i) for i in range(40)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    found = {r["v"]: r["root"] for r in components(Scratch(spark, "t"), df).collect()}
+    expected = {**{i: 5 for i in [5, *range(50, 91)]}, 1: 1, 2: 1, 7: 7, 8: 7, 9: 7, 200: 200, **{300 + i: 200 for i in range(40)}}
+    assert found == expected
