@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.plans import folders
@@ -51,3 +55,34 @@ def block_count(docs: DataFrame, text: str, block_bytes: int) -> int:
     """Blocks to deal texts into: one per `block_bytes`, and one per shuffle partition at least."""
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     return max(math.ceil(total / block_bytes), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows with a number `block`, packed for the shuffle: `block` and compressed `rows`.
+
+    A task packs the rows of one Arrow batch that go to one block together, which takes
+    half the room on disk that single rows take. `undealt` reads them.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in batches:
+            blocks = batch.column("block").to_numpy(zero_copy_only=False)
+            order = np.argsort(blocks, kind="stable")
+            table, blocks = pa.Table.from_batches([batch]).drop_columns("block").take(order), blocks[order]
+            first = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1])) if len(blocks) else []
+            packed = []
+            for a, b in zip(first, [*first[1:], len(blocks)]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, table.schema, options=options) as out:
+                    out.write_table(table.slice(a, b - a))
+                packed.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array(blocks[first], pa.int64()), pa.array(packed, pa.binary())], ["block", "rows"])
+
+    return rows.mapInArrow(deal, "block long, rows binary")
+
+
+def undealt(packed: pd.Series) -> pd.DataFrame:
+    """The rows of a block."""
+    tables = [pa.ipc.open_stream(value).read_all() for value in packed]
+    return pa.concat_tables(tables).to_pandas(integer_object_nulls=True)
