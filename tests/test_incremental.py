@@ -73,6 +73,23 @@ def test_saved_cursor_is_restored(spark, run):
         run.restore_incremental(Resource("e", lambda s: None), cursor)
 
 
+def test_rows_that_arrive_at_the_saved_value_are_not_lost(spark, run, rows):
+    """As many rows as the source has then are stored in the end, copies too."""
+    cursor = Incremental("n")
+    first = spark.createDataFrame([(1, "a"), (5, "b"), (5, "b")], "n bigint, v string")
+    bound = Source.of("app", [Resource("t", lambda s: first, incremental=cursor)])
+    run.run(bound, load_id="1")
+    second = spark.createDataFrame([(5, "b"), (5, "b"), (5, "b"), (5, "c"), (6, "d")], "n bigint, v string")
+    saved = run.restore_incremental(bound.t, cursor)
+    run.run(Source.of("app", [bound.t.with_rows(second).with_hints(incremental=saved)]), load_id="2")
+    assert rows(run.dataset().t, "n", "v") == [(1, "a"), (5, "b"), (5, "b"), (5, "b"), (5, "c"), (6, "d")]
+    nested = spark.createDataFrame([(1, [(1,)])], "n bigint, kids array<struct<a: bigint>>")
+    deep = Source.of("app", [Resource("u", lambda s: nested, incremental=cursor)])
+    run.run(deep, load_id="3")
+    with pytest.raises(ValueError, match="primary key"):
+        run.run(Source.of("app", [deep.u.with_hints(incremental=run.restore_incremental(deep.u, cursor))]), load_id="4")
+
+
 def test_number_cursor_with_lag(spark, run):
     cursor = Incremental("id", lag=2)
     bound = Source.of("app", [Resource("n", lambda s: s.range(10), "merge", "id", incremental=cursor)])

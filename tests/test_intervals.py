@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import intervals
+from tidemark.windows import TimeWindow
 
 ORIGIN = datetime(2024, 1, 1)
 
@@ -72,5 +73,29 @@ def test_freshness(spark):
         ("b", ORIGIN, ORIGIN + timedelta(hours=5), "completed"),
     ]
     df = spark.createDataFrame(rows, "job string, interval_start timestamp, interval_end timestamp, status string")
-    got = {r.job: r.is_fresh for r in intervals.freshness(df, ORIGIN + timedelta(hours=5)).collect()}
+    got = {r.job: r.is_fresh for r in intervals.freshness(df, TimeWindow(ORIGIN, ORIGIN + timedelta(hours=5))).collect()}
     assert got == {"a": False, "b": True}
+
+
+def test_freshness_needs_the_whole_interval(spark):
+    at = lambda h: ORIGIN + timedelta(hours=h)
+    rows = [
+        ("hole", at(0), at(3), "completed"),
+        ("hole", at(3), at(4), "failed"),
+        ("hole", at(4), at(9), "completed"),
+        ("late", at(2), at(9), "completed"),
+        ("whole", at(-30), at(4), "completed"),
+        ("whole", at(3), at(12), "completed"),
+        ("never", at(0), at(9), "failed"),
+    ]
+    df = spark.createDataFrame(rows, "job string, interval_start timestamp, interval_end timestamp, status string")
+    got = {r.job: (r.is_fresh, r.covered_to) for r in intervals.freshness(df, TimeWindow(at(1), at(8))).collect()}
+    assert {job: fresh for job, (fresh, _) in got.items()} == {"hole": False, "late": False, "whole": True, "never": False}
+    assert got["hole"][1] == at(3) and got["late"][1] is None and got["whole"][1] == at(12)
+
+
+def test_reversed_intervals_are_left_out(spark):
+    spans = [("a", ORIGIN, ORIGIN + timedelta(hours=1)), ("a", ORIGIN + timedelta(hours=5), ORIGIN), ("a", None, ORIGIN)]
+    df = log(spark, spans)
+    assert [r.n for r in intervals.islands(df, "s", "e", ["job"]).collect()] == [1]
+    assert intervals.rejected(df, "s", "e").count() == 2

@@ -5,8 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import Incremental, Pipeline, Resource, Source, TimeWindow, paged_resource, source, transformation
+from tidemark.operators.merge import latest_per_key
 from tidemark.operators.normalize import SchemaConflict, flagged_columns
 from tidemark.plans import folders
+from tidemark.plans.loading import NullKey
+from tidemark.session import shared_folder
 
 
 def frame(spark, data, schema="id bigint, v string"):
@@ -33,6 +36,7 @@ def test_merge_is_idempotent_in_every_layout(spark, warehouse, rows, layout):
     run = Pipeline(spark, "job", warehouse)
     base = frame(spark, [(1, "a"), (2, "b"), (None, "n"), (4, None)])
     batch = frame(spark, [(2, "B"), (3, "c"), (None, "N"), (4, "a")])
+    layout = {**layout, "null_keys": True}
     run.run(target(base, **layout), load_id="1")
     run.run(target(batch, **layout), load_id="2")
     once = rows(run.dataset().t, "id", "v")
@@ -69,7 +73,7 @@ def test_composite_key(spark, run, rows):
     base = spark.sql("select date'2024-01-01' day, 'a' region, 1L n union all select date'2024-01-02', null, 2L")
     more = spark.sql("select date'2024-01-02' day, cast(null as string) region, 5L n union all select date'2024-01-02', 'a', 6L")
     assert base.dtypes == [tuple(p.split(" ")) for p in schema.split(", ")]
-    stats = Resource("s", lambda s: base, "merge", ("day", "region"), partition_by="day")
+    stats = Resource("s", lambda s: base, "merge", ("day", "region"), partition_by="day", null_keys=True)
     run.run(stats, load_id="1")
     run.run(stats.with_rows(more), load_id="2")
     assert rows(run.dataset().s, "n") == [(1,), (5,), (6,)]
@@ -81,7 +85,8 @@ def test_retry_of_a_load(spark, run):
     assert run.run(df, "t", load_id="1").skipped
     assert run.dataset().t.count() == 1
     # A crash after the swap and before the log entry: the retry takes the first attempt's place.
-    folders.remove(spark, f"{run.root}/_loads/1.json")
+    (log,) = folders.names(spark, f"{run.root}/_loads")
+    folders.remove(spark, f"{run.root}/_loads/{log}")
     assert not run.run(df, "t", load_id="1").skipped
     assert run.dataset().t.count() == 1
 
@@ -276,6 +281,75 @@ def test_period_layout_prunes_and_moves(spark, run, rows):
     assert "PartitionFilters: [isnotnull(_period" in plan
 
 
+def test_null_keys_and_key_types_are_refused_before_anything_changes(spark, run, rows):
+    run.run(target(frame(spark, [(1, "a")])), load_id="1")
+    with pytest.raises(NullKey, match="key id"):
+        run.run(target(frame(spark, [(2, "b"), (None, "n")])), load_id="2")
+    text_key = spark.createDataFrame([("1", "b")], "id string, v string")
+    with pytest.raises(SchemaConflict, match="id"):
+        run.run(target(text_key), load_id="3")
+    assert rows(run.dataset().t, "id", "v") == [(1, "a")]
+
+
+def test_a_failed_load_leaves_no_folders(spark, run):
+    run.run(target(frame(spark, [(1, "a")])), load_id="1")
+    before = folders.names(spark, f"{run.root}/t")
+    with pytest.raises(NullKey):
+        run.run(target(frame(spark, [(None, "n")])), load_id="2")
+    bad = frame(spark, [(1, "a")]).withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        run.run(target(bad), load_id="3")
+    assert folders.names(spark, f"{run.root}/t") == before
+
+
+def test_staged_copies_of_nested_rows_are_deleted(spark, run):
+    nested = spark.createDataFrame([(1, [(1,), (2,)])], "id bigint, kids array<struct<a: bigint>>")
+    shared = shared_folder(spark)
+    before = [n for n in folders.names(spark, shared) if n.startswith("nested-")]
+    run.run(Resource("n", lambda s: nested, "merge", "id"), load_id="1")
+    assert [n for n in folders.names(spark, shared) if n.startswith("nested-")] == before
+
+
+def test_a_window_reads_its_periods_only(spark, run):
+    days = spark.sql("select id, timestampadd(DAY, id, timestamp'2024-01-01') t from range(20)")
+    run.run(Resource("d", lambda s: days, "append", partition_by=("t", "day")), load_id="1")
+    some = run.dataset().table_between("d", "t", TimeWindow("2024-01-05T00:00:00", "2024-01-06T00:00:00"))
+    assert some.count() == 2 and len({f.rpartition("/")[0] for f in some.inputFiles()}) == 2
+
+
+def test_load_id_of_other_work_is_an_error(spark, run):
+    run.run(frame(spark, [(1, "a")]), "t", load_id="1")
+    with pytest.raises(ValueError, match="was used for"):
+        run.run(frame(spark, [(1, "a")]), "u", load_id="1")
+
+
+def test_merge_of_an_empty_window(spark, run, rows):
+    cursor = Incremental("id", 5, 9)
+    some = frame(spark, [(1, "a"), (6, "b")])
+    run.run(target(some, incremental=cursor), load_id="1")
+    empty = frame(spark, [(1, "a")])
+    assert run.run(target(empty, incremental=cursor), load_id="2").row_counts == {"t": 0}
+    assert rows(run.dataset().t, "id", "v") == [(6, "b")]
+
+
+def test_retry_after_compaction_adds_nothing(spark, run):
+    df = frame(spark, [(1, "a")])
+    run.run(df, "t", load_id="1")
+    run.run(df, "t", load_id="2")
+    run.dataset().compact("t")
+    for log in folders.names(spark, f"{run.root}/_loads"):
+        folders.remove(spark, f"{run.root}/_loads/{log}")
+    run.run(df, "t", load_id="2")
+    assert run.dataset().t.count() == 2
+
+
+def test_winners_move_whole_rows_once(spark):
+    batch = spark.range(100).selectExpr("id % 10 AS k", "id AS v", "repeat('x', 50) AS t")
+    plan = latest_per_key(batch, ["k"], "v", null_keys=False)._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(wide) <= 3 and "max_by" not in plan
+
+
 def test_stable_layout_skips_the_search(spark, run):
     target_rows = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
     fixed = Resource("t", lambda s: target_rows, "merge", "id", partition_by="v", stable_layout=True)

@@ -121,3 +121,12 @@ def test_contracts(spark):
 def test_annotations(spark):
     df = n.annotated(spark.createDataFrame([(1, "x")], "id bigint, name string"), {"name": {"pii": True}})
     assert n.flagged_columns(df, "pii") == ["name"]
+
+
+def test_only_full_iso_instants_are_times(spark):
+    from tidemark.operators.normalize import instant
+
+    good = ["2024-01-02", "2024-01-02T03:04:05Z", "2024-01-02 03:04:05.123456", "2024-01-02T03:04:05+01:00"]
+    bad = ["2024", "10115", "12:30", "2024-01", "20240102", "2024-13-01", "next year", ""]
+    df = spark.createDataFrame([(x,) for x in good + bad], "t string").select("t", instant(F.col("t")).isNotNull().alias("is"))
+    assert {r.t: r["is"] for r in df.collect()} == {**dict.fromkeys(good, True), **dict.fromkeys(bad, False)}

@@ -9,11 +9,10 @@ intervals it has, and a bucket that is covered many times is one row before the
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.windows import bound_literal
+from tidemark.windows import TimeWindow, bound_literal
 
 
 def _pieces(df: DataFrame, start: str, end: str, by: Sequence[str], bucket: str, counted: str | None) -> DataFrame:
@@ -26,7 +25,8 @@ def _pieces(df: DataFrame, start: str, end: str, by: Sequence[str], bucket: str,
     def edge(value):
         return F.date_trunc(bucket, value).cast("timestamp_ntz")
 
-    rows = df.where(F.col(start).isNotNull() & F.col(end).isNotNull()).select(
+    # NULL ends and intervals that end before they start cover nothing; see `rejected`.
+    rows = df.where(F.col(start) <= F.col(end)).select(
         *by,
         F.col(start).cast("timestamp_ntz").alias("s0"),
         F.col(end).cast("timestamp_ntz").alias("e0"),
@@ -105,16 +105,34 @@ def gaps(df: DataFrame, start: str, end: str, by: Sequence[str] = (), bucket: st
     )
 
 
+def rejected(df: DataFrame, start: str, end: str) -> DataFrame:
+    """Rows that are no interval: an end is NULL, or before the start."""
+    return df.where(~F.coalesce(F.col(start) <= F.col(end), F.lit(False)))
+
+
 def completed(run_log: DataFrame, status: str = "status", value: str = "completed") -> DataFrame:
     return run_log.where(F.col(status) == value)
 
 
-def freshness(run_log: DataFrame, needed_end: datetime, job: str = "job", end: str = "interval_end") -> DataFrame:
-    """Per upstream job: the end of what it has completed, and whether that reaches `needed_end`."""
-    limit = bound_literal(needed_end, run_log.schema[end].dataType)
-    return (
-        completed(run_log)
-        .groupBy(job)
-        .agg(F.max(end).alias("covered_to"))
-        .withColumn("is_fresh", F.col("covered_to") >= limit)
-    )
+def freshness(
+    run_log: DataFrame,
+    needed: TimeWindow,
+    job: str = "job",
+    start: str = "interval_start",
+    end: str = "interval_end",
+    bucket: str = "day",
+) -> DataFrame:
+    """Per upstream job: how far its completed runs cover `needed` without a hole, and whether wholly.
+
+    Jobs without a completed run are in the result and not fresh. `covered_to` is the end
+    of the stretch that holds the needed start, NULL where nothing does.
+    """
+    kind = run_log.schema[end].dataType
+    low, high = bound_literal(needed.start, kind), bound_literal(needed.end, kind)
+    stretches = islands(completed(run_log), start, end, [job], bucket)
+    first = stretches.where((F.col("island_start") <= low) & (F.col("island_end") >= low))
+    reached = first.groupBy(job).agg(F.max("island_end").alias("covered_to"))
+    jobs = run_log.select(job).distinct()
+    probe = reached.withColumnRenamed(job, "_job")
+    joined = jobs.join(probe, jobs[job].eqNullSafe(probe["_job"]), "left")
+    return joined.select(job, "covered_to", F.coalesce(F.col("covered_to") >= high, F.lit(False)).alias("is_fresh"))

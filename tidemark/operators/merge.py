@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,16 +17,24 @@ def same_key(left: DataFrame, right: DataFrame, key: Sequence[str], prefix: str
     return condition
 
 
-def latest_per_key(batch: DataFrame, key: Sequence[str], newest: str | None = None) -> DataFrame:
+def latest_per_key(batch: DataFrame, key: Sequence[str], newest: str | None = None, null_keys: bool = True) -> DataFrame:
     """One row per key: the greatest `newest` wins, then the greatest row hash.
 
-    An aggregate and not a window, so repeated keys shrink before the shuffle.
+    Only key, `newest` and hash are aggregated, partly before the shuffle; whole rows move
+    once, to meet the winners. Rows that agree in all of it are copies, of which one stays;
+    they are together already. Without `null_keys`, rows that lack a part of the key are
+    left out.
     """
-    columns = batch.columns
-    comparable = [f"`{c}`" for c in columns]
-    rank = F.struct(*([F.col(newest)] if newest else []), F.xxhash64(*comparable))
-    winner = batch.groupBy(*key).agg(F.max_by(F.struct(*comparable), rank).alias("_row"))
-    return winner.select("_row.*").select(*comparable)
+    columns = [f"`{c}`" for c in batch.columns]
+    ranked = batch.withColumn("_rank", F.struct(*([F.col(newest)] if newest else []), F.xxhash64(*columns)))
+    best = ranked.groupBy(*key).agg(F.max("_rank").alias("_best"))
+    best = best.select(*[F.col(k).alias(f"_k_{k}") for k in key], "_best")
+    if null_keys:
+        matched = same_key(ranked, best, key, "_k_")
+    else:
+        matched = reduce(Column.__and__, [ranked[k] == best[f"_k_{k}"] for k in key])
+    kept = ranked.join(best, matched & (ranked["_rank"] == best["_best"]))
+    return kept.dropDuplicates([*key, "_rank"]).select(*columns)
 
 
 def without_keys(target: DataFrame, keys: DataFrame, key: Sequence[str], as_key: Sequence[str] | None = None) -> DataFrame:

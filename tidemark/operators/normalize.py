@@ -170,16 +170,24 @@ def widened(df: DataFrame) -> DataFrame:
     return df.withColumns(change) if change else df
 
 
+ISO_INSTANT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?( ?(Z|[+-]\d{2}(:?\d{2})?))?)?$"
+
+
+def instant(text: Column) -> Column:
+    """A full ISO date or date and time as a timestamp; NULL for anything else, digits and clock times too."""
+    return F.when(text.rlike(ISO_INSTANT), F.try_to_timestamp(text))
+
+
 def timestamps_from_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Text columns become timestamps when every non-NULL value parses; one pass for all columns."""
     texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
     if not texts:
         return df
-    tests = [F.count_if(F.col(c).isNotNull() & F.try_to_timestamp(c).isNull()).alias(c) for c in texts]
+    tests = [F.count_if(F.col(c).isNotNull() & instant(F.col(c)).isNull()).alias(c) for c in texts]
     filled = [F.count(c).alias(f"{c}__filled") for c in texts]
     result = df.agg(*tests, *filled).first()
     good = [c for c in texts if result[c] == 0 and result[f"{c}__filled"] > 0]
-    return df.withColumns({c: F.try_to_timestamp(c) for c in good}) if good else df
+    return df.withColumns({c: instant(F.col(c)) for c in good}) if good else df
 
 
 def split_variant(value: Column, incoming: T.DataType, stored: T.DataType) -> tuple[Column, Column]:
@@ -189,8 +197,8 @@ def split_variant(value: Column, incoming: T.DataType, stored: T.DataType) -> tu
     Text fits a timestamp column when it is an instant.
     """
     if isinstance(incoming, T.StringType) and isinstance(stored, (T.TimestampType, T.TimestampNTZType)):
-        instant = F.try_to_timestamp(value).cast(stored)
-        return instant, F.when(instant.isNull(), value)
+        parsed = instant(value).cast(stored)
+        return parsed, F.when(parsed.isNull(), value)
     as_stored = value.try_cast(stored)
     back = as_stored.try_cast(incoming)
     fits = F.coalesce(back == value, F.lit(False))
@@ -209,6 +217,18 @@ def _pair_has_cast(incoming: T.DataType, stored: T.DataType) -> bool:
     return True
 
 
+def keep_type(df: DataFrame, stored: T.StructType | None, columns: Sequence[str], table: str) -> None:
+    """Raise when a key or layout column arrives as another type than the stored one.
+
+    Its values would go to a variant column, and rows would lose their key.
+    """
+    for field in widened(df).schema.fields if stored is not None else ():
+        if field.name in columns and field.name in stored.fieldNames() and stored[field.name].dataType != field.dataType:
+            raise SchemaConflict(
+                f"{table}.{field.name}: stored {stored[field.name].dataType.simpleString()}, incoming {field.dataType.simpleString()}"
+            )
+
+
 CONTRACTS = ("evolve", "add", "freeze")
 
 

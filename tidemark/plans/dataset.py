@@ -11,6 +11,7 @@ import json
 import re
 import uuid
 from collections.abc import Sequence
+from datetime import date, timedelta
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -53,11 +54,29 @@ def file_name(load_id: str) -> str:
     return re.sub(r"[^A-Za-z0-9._-]", "_", load_id)
 
 
+def period_start(unit: str, day: date) -> date:
+    """The first day of the period that a day lies in, as `date_trunc` has it."""
+    unit = unit.lower()
+    if unit == "week":
+        return day - timedelta(days=day.weekday())
+    if unit in ("month", "mon", "mm"):
+        return day.replace(day=1)
+    if unit == "quarter":
+        return day.replace(month=day.month - (day.month - 1) % 3, day=1)
+    if unit in ("year", "yyyy", "yy"):
+        return day.replace(month=1, day=1)
+    return day
+
+
 class StoredTable:
-    def __init__(self, spark: SparkSession, root: str, name: str):
+    def __init__(self, spark: SparkSession, root: str, name: str, fresh: bool = False):
         self.spark, self.name = spark, name
         self.folder = f"{root}/{name}"
+        self.written: list[str] = []
         self._read_pointer()
+        if fresh:
+            # As if it had been dropped; the pointer on disk stays until the next swap.
+            self.info = {}
 
     def _read_pointer(self) -> None:
         text = folders.read_text(self.spark, f"{self.folder}/current.json")
@@ -126,6 +145,7 @@ class StoredTable:
         Rows are counted in the last stage, where a task that is run again counts once.
         """
         folder = f"_version={file_name(load_id)}-{uuid.uuid4().hex[:8]}"
+        self.written.append(folder)
         layout = self.layout
         if layout == BUCKET:
             key = [F.col(c) for c in self.info["key"]]
@@ -156,7 +176,13 @@ class StoredTable:
         return self.write_files(df, load_id, counted)
 
     def append(self, df: DataFrame, load_id: str, counted: Observation | None = None) -> list[dict]:
-        """A retry of the same load takes the place of its first attempt."""
+        """A retry of the same load takes the place of its first attempt.
+
+        A load that has been compacted with others cannot be taken out again: it stays, and
+        the retry adds nothing.
+        """
+        if any(load_id in e.get("loads", ()) for e in self.info["entries"]):
+            return self.info["entries"]
         kept = [e for e in self.info["entries"] if e["load"] != load_id]
         return kept + self.write_files(df, load_id, counted)
 
@@ -170,7 +196,7 @@ class StoredTable:
         if not current:
             return staged
         keys = self.read(staged).select(*key)
-        small = counted is not None and self._is_small(staged, counted.get.get("rows", 0))
+        small = counted is not None and self._is_small(staged, self.read(staged).count())
         if small:
             keys = F.broadcast(keys)
         touched = self._touched(keys, staged, current, key)
@@ -210,6 +236,12 @@ class StoredTable:
         kept = without_keys(self.read(current), parent_ids, [link], [parent_ids.columns[0]])
         return self.write_files(kept, load_id) + staged
 
+    def discard_written(self) -> None:
+        """Delete the folders of a load that was not published."""
+        for folder in self.written:
+            folders.remove(self.spark, f"{self.folder}/{folder}")
+        self.written = []
+
     def drop(self) -> None:
         if self.info:
             self.swap([], dropped=True)
@@ -248,11 +280,11 @@ class Dataset:
         stored = self.stored(name)
         if not stored.exists or stored.layout != PERIOD or stored.info["partition_by"] != column:
             return window.rows(self.table(name), column)
-        unit = stored.info["period"]
-        df = window.rows(stored.read(with_layout=True), column)
-        low, high = (F.lit(m.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp") for m in (window.start, window.end))
-        first, last = (F.date_trunc(unit, m).cast("date") for m in (low, high))
-        return df.where(F.col(PERIOD).between(first, last)).drop(PERIOD)
+        first, last = (period_start(stored.info["period"], m.date()).isoformat() for m in (window.start, window.end))
+        # Chosen by folder name: those of other periods never reach the file index.
+        within = [e for e in stored.info["entries"] if first <= e["part"].split("=", 1)[1] <= last]
+        df = window.rows(stored.read(within, with_layout=True), column)
+        return df.where(F.col(PERIOD).between(F.lit(first).cast("date"), F.lit(last).cast("date"))).drop(PERIOD)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -338,7 +370,9 @@ class Dataset:
     def compact(self, name: str) -> None:
         """Write all current folders of a table as one, to end a long row of small appends."""
         stored = self.stored(name)
-        stored.swap(stored.write_files(stored.read(), "compacted"))
+        loads = sorted({x for e in stored.info["entries"] for x in e.get("loads", [e["load"]])})
+        written = stored.write_files(stored.read(), "compacted")
+        stored.swap([{**e, "loads": loads} for e in written])
 
 
 def stacked(parts: Sequence[DataFrame], spark: SparkSession, schema: str) -> DataFrame:

@@ -9,11 +9,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from decimal import Decimal
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkAssertionError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from tidemark.operators.merge import latest_per_key
+from tidemark.operators.merge import latest_per_key, without_keys
 from tidemark.operators.normalize import (
     LOAD_ID,
     PARENT_ID,
@@ -21,6 +24,7 @@ from tidemark.operators.normalize import (
     ROW_ID,
     flatten,
     has_nesting,
+    keep_type,
     nested_lists,
     reconciled,
     relational_tables,
@@ -37,6 +41,18 @@ from tidemark.windows import Incremental, as_utc
 REFRESH_MODES = ("drop_sources", "drop_resources")
 
 
+def observed(observation: Observation) -> dict:
+    """What an observation has seen; nothing when no plan that ran contained it."""
+    try:
+        return observation.get
+    except (PySparkAssertionError, Py4JJavaError):
+        return {}
+
+
+class NullKey(ValueError):
+    """Rows of a merge without a key; `null_keys` of the resource allows them."""
+
+
 class NullCursor(ValueError):
     """Rows without a cursor value, and the resource does not say what to do with them."""
 
@@ -100,7 +116,7 @@ class Pipeline:
                 resource.name,
                 incremental.cursor,
             ):
-                return incremental.restored(row["start_value"])
+                return incremental.restored(_value(row))
         return None
 
     # ---- running ----
@@ -116,29 +132,43 @@ class Pipeline:
     ) -> LoadInfo:
         """Load a source, resource, frame, Arrow table or a list of them.
 
-        Nothing is published before every table of the run is written. A `load_id`
-        that has finished before is not run again.
+        Nothing is published or dropped before every table of the run is written; what a
+        failed run has written is deleted. A `load_id` of this pipeline that has finished
+        before is not run again; with other resources it is an error.
         """
         if refresh is not None and refresh not in REFRESH_MODES:
             raise ValueError(f"refresh: {refresh}")
         load_id = load_id or f"{time.time():.6f}"
-        log = f"{self.root}/_loads/{file_name(load_id)}.json"
+        log = f"{self.root}/_loads/{self._load_key(load_id)}.json"
         done = folders.read_text(self.spark, log)
+        resources = self._resources(what, table_name, write_disposition)
         if done is not None:
             rows = [json.loads(line) for line in done.splitlines()]
+            loaded, asked = {r["table_name"] for r in rows}, {r.table for r in resources}
+            if not asked <= loaded or {r["resource"] for r in rows} != {r.name for r in resources}:
+                raise ValueError(f"load id {load_id!r} was used for {', '.join(sorted(loaded))}, not for {', '.join(sorted(asked))}")
             self.last_load = LoadInfo(load_id, self.name, rows, skipped=True)
             return self.last_load
-        resources = self._resources(what, table_name, write_disposition)
-        if refresh:
-            self._drop(resources, refresh)
+        gone, state = self._refreshed(resources, refresh) if refresh else ({}, self.state)
         started = datetime.now(timezone.utc)
         pending: list[_Pending] = []
         cursors: list[dict] = []
-        for resource in resources:
-            self._load(resource, load_id, file_format, pending, cursors)
+        self._opened, self._staged, self._gone = [], [], set(gone)
+        try:
+            for resource in resources:
+                self._load(resource, load_id, file_format, pending, cursors)
+        except BaseException:
+            for table in self._opened:
+                table.discard_written()
+            raise
+        finally:
+            for folder in self._staged:
+                folders.remove(self.spark, folder)
         for item in pending:
             item.table.swap(item.entries)
-        self._remember(cursors)
+        for name in set(gone) - {item.table.name for item in pending}:
+            gone[name].drop()
+        self._remember(cursors, state)
         finished = datetime.now(timezone.utc)
         rows = [
             {
@@ -177,45 +207,52 @@ class Pipeline:
             found = [r.with_hints(write_disposition=disposition) for r in found]
         return found
 
-    def _drop(self, resources: Sequence[Resource], mode: str) -> None:
+    def _load_key(self, load_id: str) -> str:
+        """A file name that no other load id and no other pipeline has."""
+        digest = hashlib.sha256(f"{self.name}\0{load_id}".encode()).hexdigest()[:16]
+        return f"{file_name(self.name)}-{file_name(load_id)[:60]}-{digest}"
+
+    def _refreshed(self, resources: Sequence[Resource], mode: str) -> tuple[dict[str, StoredTable], list[dict]]:
+        """Tables that a refresh drops when the run is published, and the state that is left."""
         names = {r.table for r in resources}
         origin = {r.source for r in resources if r.source}
         dataset = self.dataset()
-        gone = set()
+        gone = {}
         for name in dataset.tables:
             stored = dataset.stored(name)
             own = name in names or any(name.startswith(f"{n}__") and stored.info.get("parent") for n in names)
             if own or (mode == "drop_sources" and stored.info.get("source") in origin):
-                stored.drop()
-                gone.add(stored.info.get("resource"))
-        keep_resources = {r.name for r in resources}
-        self._save_state(
-            [
-                row
-                for row in self.state
-                if not (row["source"] in origin and (mode == "drop_sources" or row["resource"] in keep_resources))
-            ]
-        )
+                gone[name] = stored
+        again = {r.name for r in resources}
+        left = [r for r in self.state if r["source"] not in origin or (mode != "drop_sources" and r["resource"] not in again)]
+        return gone, left
 
     def _load(
         self, resource: Resource, load_id: str, file_format: str, pending: list[_Pending], cursors: list[dict]
     ) -> None:
         cursor = resource.incremental
-        if cursor is not None and cursor.both_closed and resource.write_disposition == "append":
+        appends = resource.write_disposition == "append"
+        if cursor is not None and cursor.both_closed and appends and not cursor.resumed:
             raise ValueError(f"{resource.name}: append over closed windows would repeat the shared instants; use merge")
         df = resource.rows(self.spark)
-        high = None
-        if cursor is not None:
-            high = Observation()
-            df = cursor.rows(df).observe(
-                high,
-                F.count_if(F.col(cursor.cursor).isNull()).alias("missing"),
-                F.max(cursor.cursor).alias("top"),
-            )
         merge = resource.write_disposition == "merge"
         key = list(resource.primary_key)
+        seen = []
+        if cursor is not None:
+            df = cursor.rows(df)
+            seen += [F.count_if(F.col(cursor.cursor).isNull()).alias("missing"), F.max(cursor.cursor).alias("top")]
+        if merge and not resource.null_keys:
+            # Reads the key alone; files with statistics are not even opened.
+            unnamed = reduce(Column.__or__, [F.col(k).isNull() for k in key])
+            if not df.where(unnamed).isEmpty():
+                raise NullKey(f"{resource.name}: rows lack a part of the key {', '.join(key)}")
+        unobserved, high = df, Observation() if seen else None
+        if high is not None:
+            df = df.observe(high, *seen)
+        if appends and cursor is not None and cursor.resumed and cursor.start is not None and (cursor.range_start == "closed" or cursor.lag):
+            df = self._unseen(df, resource)
         if merge and not resource.unique_batch:
-            df = latest_per_key(df, key, resource.newest)
+            df = latest_per_key(df, key, resource.newest, resource.null_keys)
         nested = has_nesting(df)
         lists = nested_lists(flatten(df)) if nested else []
         wants_keys = resource.row_ids if resource.row_ids is not None else bool(lists or key)
@@ -225,6 +262,7 @@ class Pipeline:
         if lists:
             # Parsed once: the parent and every child table read the stored copy.
             staged = fresh_folder(self.spark, f"nested-{resource.table}")
+            self._staged.append(staged)
             df.write.parquet(staged)
             df = self.spark.read.schema(df.schema).parquet(staged)
         tables = relational_tables(df, resource.table) if nested else {resource.table: df}
@@ -234,8 +272,9 @@ class Pipeline:
         for name, rows in tables.items():
             is_child = name != resource.table
             pending.append(self._write(resource, name, rows, parents if is_child else None, load_id, file_format))
-        if high is not None:
-            seen = high.get
+        if cursor is not None:
+            # Spark drops the observed step from the plan of an empty batch: then it is counted apart.
+            seen = observed(high) or unobserved.agg(*seen).first().asDict()
             if seen.get("missing") and cursor.on_null == "raise":
                 raise NullCursor(f"{resource.name}: {seen['missing']} rows have no {cursor.cursor}")
             if seen.get("top") is not None:
@@ -245,13 +284,38 @@ class Pipeline:
                         "resource": resource.name,
                         "cursor_path": cursor.cursor,
                         "start_value": _plain(seen["top"]),
+                        **({"value_type": "decimal"} if isinstance(seen["top"], Decimal) else {}),
                     }
                 )
 
+    def _unseen(self, df: DataFrame, resource: Resource) -> DataFrame:
+        """Rows of a resumed append that are not stored yet: as many copies less as the table has.
+
+        Only stored rows at or above the start are compared, by key or else as whole rows.
+        """
+        stored = StoredTable(self.spark, self.root, resource.table, resource.table in self._gone)
+        cursor, key = resource.incremental, list(resource.primary_key)
+        if not stored.exists or cursor.cursor not in stored.schema.fieldNames():
+            return df
+        near = stored.read().where(F.col(cursor.cursor) >= cursor.low(stored.schema[cursor.cursor].dataType))
+        if key:
+            return without_keys(df, near, key)
+        if has_nesting(df):
+            if nested_lists(flatten(df)):
+                raise ValueError(f"{resource.name}: appending nested rows from a closed start needs a primary key, or range_start='open'")
+            df = flatten(df)
+        ready = reconciled(df, stored.schema, resource.contract, resource.table)
+        hidden = (ROW_ID, LOAD_ID)
+        names = [c for c in ready.columns if c not in hidden]
+        types = {f.name: f.dataType for f in ready.schema.fields}
+        have = set(near.columns)
+        same = near.select(*[F.col(f"`{c}`") if c in have else F.lit(None).cast(types[c]).alias(c) for c in names])
+        return ready.select(*[f"`{c}`" for c in names]).exceptAll(same)
+
     def _timed(self, name: str, rows: DataFrame) -> DataFrame:
         """Text columns of a table that is not stored yet become timestamps where all values are; later
         loads follow the stored type."""
-        stored = StoredTable(self.spark, self.root, name).schema
+        stored = StoredTable(self.spark, self.root, name, name in self._gone).schema
         known = set(stored.fieldNames()) if stored is not None else set()
         texts = [f for f, kind in rows.dtypes if kind == "string" and f not in (ROW_ID, PARENT_ID, ROOT_ID)]
         return timestamps_from_text(rows, [c for c in texts if c not in known])
@@ -265,10 +329,13 @@ class Pipeline:
         load_id: str,
         file_format: str,
     ) -> _Pending:
-        stored = StoredTable(self.spark, self.root, name)
-        ready = reconciled(rows.withColumn(LOAD_ID, F.lit(load_id)), stored.schema, resource.contract, name)
+        stored = StoredTable(self.spark, self.root, name, name in self._gone)
+        self._opened.append(stored)
         is_child = parents is not None
         key = [ROW_ID] if is_child else list(resource.primary_key)
+        by = None if is_child else resource.partition_by
+        keep_type(rows, stored.schema, [*key, *([by[0] if isinstance(by, tuple) else by] if by else [])], name)
+        ready = reconciled(rows.withColumn(LOAD_ID, F.lit(load_id)), stored.schema, resource.contract, name)
         info = {"key": key, "source": resource.source, "resource": resource.name, "dropped": False}
         if is_child:
             info["parent"] = resource.table if "__" not in name[len(resource.table) + 2 :] else name.rsplit("__", 1)[0]
@@ -276,22 +343,22 @@ class Pipeline:
             info["metrics"] = [m.as_row() for m in resource.metrics] or stored.info.get("metrics", [])
         if not stored.exists:
             info["format"] = file_format
-            by = None if is_child else resource.partition_by
             info["partition_by"], info["period"] = by if isinstance(by, tuple) else (by, None)
             info["buckets"] = None if is_child else resource.buckets
             info["stable_layout"] = resource.stable_layout
         stored.describe(ready, **info)
         counted = Observation()
         disposition = resource.write_disposition
+        load_key = self._load_key(load_id)
         if disposition == "replace":
-            entries = stored.replace(ready, load_id, counted)
+            entries = stored.replace(ready, load_key, counted)
         elif disposition == "append":
-            entries = stored.append(ready, load_id, counted)
+            entries = stored.append(ready, load_key, counted)
         elif is_child:
             link = ROOT_ID if ROOT_ID in rows.columns else PARENT_ID
-            entries = stored.merge_children(ready, load_id, parents.select(ROW_ID), link, counted)
+            entries = stored.merge_children(ready, load_key, parents.select(ROW_ID), link, counted)
         else:
-            entries = stored.merge(ready, load_id, key, counted)
+            entries = stored.merge(ready, load_key, key, counted)
         shape = json.dumps(stored.info["schema"], sort_keys=True)
         return _Pending(
             stored,
@@ -301,19 +368,19 @@ class Pipeline:
                 "resource": resource.name,
                 "table_name": name,
                 "disposition": disposition,
-                "rows": int(counted.get.get("rows", 0)),
+                "rows": int(observed(counted).get("rows", 0)),
                 "schema_hash": hashlib.sha256(shape.encode()).hexdigest()[:16],
             },
         )
 
-    def _remember(self, cursors: list[dict]) -> None:
-        if not cursors:
+    def _remember(self, cursors: list[dict], state: list[dict]) -> None:
+        if not cursors and state == self.state:
             return
-        rows = {(r["source"], r["resource"], r["cursor_path"]): r for r in self.state}
+        rows = {(r["source"], r["resource"], r["cursor_path"]): r for r in state}
         for row in cursors:
             spot = (row["source"], row["resource"], row["cursor_path"])
             old = rows.get(spot)
-            if old is None or _later(row["start_value"], old["start_value"]):
+            if old is None or _value(row) > _value(old):
                 rows[spot] = row
         self._save_state(list(rows.values()))
 
@@ -323,8 +390,9 @@ def _plain(value):
         return as_utc(value).isoformat()
     if isinstance(value, date):
         return value.isoformat()
-    return float(value) if isinstance(value, Decimal) else value
+    return str(value) if isinstance(value, Decimal) else value
 
 
-def _later(new, old) -> bool:
-    return new > old
+def _value(row: dict):
+    """The saved cursor value of a row of the state, in its own type."""
+    return Decimal(row["start_value"]) if row.get("value_type") == "decimal" else row["start_value"]

@@ -28,6 +28,7 @@ class Resource:
     stable_layout    a key never moves to another folder, so a merge need not look for it elsewhere
     contract         evolve / add / freeze, see operators.normalize.reconciled
     infer_times      text columns that hold ISO instants only are stored as timestamps
+    null_keys        a merge may have rows whose key is NULL in part; they are matched NULL with NULL
     row_ids          None: row keys only where a key or nesting asks for them
     """
 
@@ -47,6 +48,7 @@ class Resource:
     metrics: tuple = ()
     source: str | None = None
     infer_times: bool = False
+    null_keys: bool = False
     row_ids: bool | None = None
     page_limit: int | None = None
     paged: bool = False
@@ -129,7 +131,12 @@ class Source:
         return Source(self.name, {n: r for n, r in self.resources.items() if n in names})
 
     def add_limit(self, pages: int) -> "Source":
-        """Read only pages 1..n of every paged resource."""
+        """Read only pages 1..n of every paged resource; the others are read whole.
+
+        A source without paged resources has nothing to limit: that is an error.
+        """
+        if not any(r.paged for r in self.resources.values()):
+            raise ValueError(f"{self.name}: no resource is landed in pages")
         return Source(self.name, {n: replace(r, page_limit=pages) for n, r in self.resources.items()})
 
 

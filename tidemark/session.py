@@ -49,6 +49,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
+        if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names a folder of one machine; a cluster needs a shared one")
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")

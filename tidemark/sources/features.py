@@ -14,9 +14,8 @@ COLLECTION_SCHEMA = (
     " geometry: struct<coordinates: array<double>>>>"
 )
 
-# The smallest magnitude that is asked for, and the page size of the service.
+# Fixed value: the smallest magnitude that is asked for.
 MIN_MAGNITUDE = 2.5
-PAGE_ROWS = 2000
 
 
 def flat_features(collections: DataFrame, column: str = "features") -> DataFrame:

@@ -30,16 +30,17 @@ def json_pages(
 ) -> DataFrame:
     """Landed pages of a collection: one file is one page, holding an array or lines of objects.
 
-    `page_limit` keeps pages 1..n by the number in the file name. It is a filter on
-    the file name, so no other task has to wait for a global limit.
+    `page_limit` keeps pages 1..n by the number in the path that `page_pattern` finds. It is a filter on
+    the file name, so no other task has to wait for a global limit. Files whose name has
+    no number are no numbered page and are kept.
     """
     reader = spark.read.option("pathGlobFilter", glob).option("multiLine", str(multi_line).lower())
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.json(folder)
     if page_limit is not None:
-        page = F.regexp_extract(F.col("_metadata.file_name"), page_pattern, 1)
-        df = df.where(page.try_cast("bigint") <= page_limit)
+        page = F.regexp_extract(F.col("_metadata.file_path"), page_pattern, 1)
+        df = df.where(F.coalesce(page.try_cast("bigint") <= page_limit, F.lit(True)))
     return df
 
 

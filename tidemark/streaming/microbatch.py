@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.plans import folders
 from tidemark.plans.loading import Pipeline
 from tidemark.plans.resources import Resource
 
@@ -33,12 +35,14 @@ def load_stream(
 
     The checkpoint remembers which files are done, so there are no gaps. A batch that is
     run again after a failure has the same load id: a finished one is skipped, an
-    unfinished one is repeated. Late and revised rows are absorbed by a merge.
+    unfinished one is repeated. Batch numbers begin anew with a new checkpoint, so the
+    checkpoint's own id is part of the load id. Late and revised rows are absorbed by a merge.
     """
 
     def load(batch: DataFrame, number: int) -> None:
+        stream_id = json.loads(folders.read_text(pipeline.spark, f"{checkpoint}/metadata"))["id"]
         rows = parse(batch)
-        pipeline.run(resource.with_rows(rows), load_id=f"{resource.name}-{number:012d}")
+        pipeline.run(resource.with_rows(rows), load_id=f"{resource.name}-{stream_id}-{number:012d}")
 
     return (
         stream.writeStream.foreachBatch(load)

@@ -70,6 +70,8 @@ class Incremental:
     range_end: str = "closed"
     lag: object = None
     on_null: str = "raise"
+    resumed: bool = False
+    """Set by `restored`: rows at the start may have been loaded already."""
 
     def __post_init__(self):
         if self.on_null not in ("raise", "include", "exclude"):
@@ -87,10 +89,7 @@ class Incremental:
         cursor = F.col(self.cursor)
         keep = None
         if self.start is not None:
-            low = self.start
-            if self.lag is not None:
-                low = (as_utc(low) if isinstance(low, str) and isinstance(self.lag, timedelta) else low) - self.lag
-            low = bound_literal(low, kind)
+            low = self.low(kind)
             keep = cursor >= low if self.range_start == "closed" or self.lag is not None else cursor > low
         if self.end is not None:
             high = bound_literal(self.end, kind)
@@ -101,5 +100,18 @@ class Incremental:
         return df if keep is None else df.where(keep | cursor.isNull())
 
     def restored(self, saved) -> "Incremental":
-        """The same settings, beginning strictly after the last saved value."""
-        return replace(self, start=saved, range_start="open")
+        """The same settings, beginning at the last saved value.
+
+        With a closed start its rows are read again, since more rows of that value may have
+        arrived: a merge absorbs them, an append leaves out those that are stored.
+        """
+        return replace(self, start=saved, resumed=True)
+
+    def low(self, kind: T.DataType) -> Column | None:
+        """The smallest value that is read."""
+        if self.start is None:
+            return None
+        low = self.start
+        if self.lag is not None:
+            low = (as_utc(low) if isinstance(low, str) and isinstance(self.lag, timedelta) else low) - self.lag
+        return bound_literal(low, kind)
