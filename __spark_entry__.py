@@ -1181,14 +1181,16 @@ def quality_gate(spark, sf_dir):
 
 
 METRICS_SQL = f"""WITH c AS {CATALOGUE_SQL}
- SELECT 'catalogue' AS table_name, 'table' AS level, CAST(NULL AS VARCHAR) AS column_name, 'row_count' AS metric, CAST(count(*) AS DOUBLE) AS value FROM c
- UNION ALL SELECT 'catalogue', 'column', 'quality', 'null_count', CAST(count(*) - count(quality) AS DOUBLE) FROM c
- UNION ALL SELECT 'catalogue', 'column', 'quality', 'null_rate', round(CAST(count(*) - count(quality) AS DOUBLE) / count(*), 6) FROM c
- UNION ALL SELECT 'catalogue', 'column', 'quality', 'unique_count', CAST(count(DISTINCT quality) AS DOUBLE) FROM c
- UNION ALL SELECT 'catalogue', 'column', 'source', 'unique_count', CAST(count(DISTINCT source) AS DOUBLE) FROM c
- UNION ALL SELECT 'catalogue', 'column', 'quality', 'mean', round(avg(quality), 6) FROM c
- UNION ALL SELECT 'catalogue', 'column', 'n_chars', 'maximum', CAST(max(n_chars) AS DOUBLE) FROM c
- UNION ALL SELECT 'catalogue', 'column', 'n_chars', 'minimum', CAST(min(n_chars) AS DOUBLE) FROM c"""
+ SELECT 'catalogue' AS table_name, 'table' AS level, CAST(NULL AS VARCHAR) AS column_name, 'row_count' AS metric, CAST(count(*) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text_value FROM c
+ UNION ALL SELECT 'catalogue', 'column', 'quality', 'null_count', CAST(count(*) - count(quality) AS DOUBLE), NULL FROM c
+ UNION ALL SELECT 'catalogue', 'column', 'quality', 'null_rate', round(CAST(count(*) - count(quality) AS DOUBLE) / count(*), 6), NULL FROM c
+ UNION ALL SELECT 'catalogue', 'column', 'quality', 'unique_count', CAST(count(DISTINCT quality) AS DOUBLE), NULL FROM c
+ UNION ALL SELECT 'catalogue', 'column', 'source', 'unique_count', CAST(count(DISTINCT source) AS DOUBLE), NULL FROM c
+ UNION ALL SELECT 'catalogue', 'column', 'quality', 'mean', round(avg(quality), 6), NULL FROM c
+ UNION ALL SELECT 'catalogue', 'column', 'n_chars', 'maximum', CAST(max(n_chars) AS DOUBLE), NULL FROM c
+ UNION ALL SELECT 'catalogue', 'column', 'n_chars', 'minimum', CAST(min(n_chars) AS DOUBLE), NULL FROM c
+ UNION ALL SELECT 'catalogue', 'column', 'source', 'maximum', NULL, max(source) FROM c
+ UNION ALL SELECT 'catalogue', 'column', 'lang', 'minimum', NULL, min(lang) FROM c"""
 
 CATALOGUE_METRICS = [
     metrics.table.row_count(),
@@ -1199,6 +1201,8 @@ CATALOGUE_METRICS = [
     metrics.column.mean("quality"),
     metrics.column.maximum("n_chars"),
     metrics.column.minimum("n_chars"),
+    metrics.column.maximum("source"),
+    metrics.column.minimum("lang"),
 ]
 
 

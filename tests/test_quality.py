@@ -144,3 +144,17 @@ def test_metric_history(run, videos):
     assert [r.value for r in q.read_metric(run.dataset(), None, "row_count").collect()] == [1.0]
     assert run.dataset().tables == ["videos"]
     assert run.dataset()("SELECT count(*) AS n FROM _dq_metrics").first().n == 17
+
+
+def test_names_of_compound_conditions():
+    assert q.case_name("a > 1 AND b BETWEEN 1 AND 2") == "a__case__And"
+    assert q.case_name("length(caption) > 3") == "caption__case__GT"
+    assert q.case_name("v BETWEEN 1 AND 2") == "v__case__Between"
+    assert q.case_name("NOT (v IN ('x OR y'))") == "v__case__In"
+
+
+def test_extremes_of_text_and_times(spark):
+    df = spark.sql("select * from values ('b', date'2024-01-02', 3), ('a', date'2024-01-01', 4) t(s, d, n)")
+    wanted = [getattr(metrics.column, m)(c) for m in ("maximum", "minimum") for c in ("s", "d", "n")]
+    found = [(r.value, r.text_value) for r in q.compute_metrics(df, wanted).collect()]
+    assert found == [(None, "b"), (None, "2024-01-02"), (4.0, None), (None, "a"), (None, "2024-01-01"), (3.0, None)]

@@ -14,7 +14,7 @@ from dataclasses import dataclass, replace
 from functools import reduce
 from types import SimpleNamespace
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # ---- checks -----------------------------------------------------------------
 
@@ -43,8 +43,8 @@ class Check:
 # Label of the outermost operator of a condition, tried in this order.
 CASE_LABELS = [
     (r"\bOR\b", "Or"),
-    (r"\bBETWEEN\b", "Between"),
     (r"\bAND\b", "And"),
+    (r"\bBETWEEN\b", "Between"),
     (r"\bIN\s*\(", "In"),
     (r"\bLIKE\b", "Like"),
     (r"\bIS\b", "Is"),
@@ -58,9 +58,10 @@ CASE_LABELS = [
 
 
 def case_name(condition: str) -> str:
-    """`{first column}__case__{operator}`; text literals are ignored."""
+    """`{first column}__case__{operator}`; text literals, function names and the AND of a BETWEEN are ignored."""
     bare = re.sub(r"'[^']*'", "''", condition)
-    column = re.search(r"[A-Za-z_]\w*", bare)
+    bare = re.sub(r"\bBETWEEN\b(.*?)\bAND\b", r"BETWEEN\1", bare, flags=re.I | re.S)
+    column = re.search(r"\b(?!NOT\b)[A-Za-z_]\w*\b(?!\s*\()", bare, re.I)
     label = next((name for pattern, name in CASE_LABELS if re.search(pattern, bare, re.I)), "Expr")
     return f"{column.group(0) if column else 'row'}__case__{label}"
 
@@ -333,7 +334,7 @@ metrics = SimpleNamespace(
     dataset=SimpleNamespace(row_count=lambda: Metric("dataset", "row_count")),
 )
 
-METRIC_COLUMNS = ["level", "table_name", "column_name", "metric", "value"]
+METRIC_COLUMNS = ["level", "table_name", "column_name", "metric", "value", "text_value"]
 
 
 def with_metrics(resource, *items: Metric):
@@ -342,7 +343,8 @@ def with_metrics(resource, *items: Metric):
 
 
 def compute_metrics(df: DataFrame, items: Sequence[Metric], table_name: str = "") -> DataFrame:
-    """One row per metric. One aggregate for all of them, but several exact distinct
+    """One row per metric: a number in `value`, or, for the greatest and smallest value of a
+    column that holds no numbers, its text in `text_value`. One aggregate for all of them, but several exact distinct
     counts are taken apart: together they would multiply the rows before the shuffle."""
     exact = [m for m in items if m.metric == "unique_count" and not m.approximate]
     apart = exact if len(exact) > 1 else []
@@ -350,14 +352,17 @@ def compute_metrics(df: DataFrame, items: Sequence[Metric], table_name: str = ""
     groups = ([together] if together else []) + [[m] for m in apart]
     parts = []
     for group in groups:
-        one = df.agg(*[m.value().cast("double").alias(f"m{i}") for i, m in enumerate(group)])
+        words = [m.metric in ("maximum", "minimum") and not isinstance(df.schema[m.column].dataType, T.NumericType) for m in group]
+        kinds = ["string" if text else "double" for text in words]
+        one = df.agg(*[m.value().cast(kind).alias(f"m{i}") for i, (m, kind) in enumerate(zip(group, kinds))])
         entries = [
             F.struct(
                 F.lit(m.level).alias("level"),
                 F.lit(table_name).alias("table_name"),
                 F.lit(m.column).cast("string").alias("column_name"),
                 F.lit(m.metric).alias("metric"),
-                F.col(f"m{i}").alias("value"),
+                (F.lit(None).cast("double") if words[i] else F.col(f"m{i}")).alias("value"),
+                (F.col(f"m{i}") if words[i] else F.lit(None).cast("string")).alias("text_value"),
             )
             for i, m in enumerate(group)
         ]
@@ -391,6 +396,7 @@ def run_metrics(pipeline, run_id: str | None = None, extra: Sequence[Metric] = (
                 F.lit(None).cast("string").alias("column_name"),
                 F.lit("row_count").alias("metric"),
                 "value",
+                F.lit(None).cast("string").alias("text_value"),
             )
         )
     if not parts:
