@@ -23,7 +23,7 @@ import regex
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import block_count
+from tidemark.llm.common import block_count, dealt, undealt
 
 BLOCK_BYTES = 16 << 20
 """Bytes of text in a block, on average. A longer text is a block's work by itself."""
@@ -119,7 +119,7 @@ def encoded(
 
     def ask(block: pd.DataFrame) -> pd.DataFrame:
         find, words = regex.compile(pattern).findall, set()
-        for text in block["text"]:
+        for text in undealt(block["rows"])["text"]:
             words.update(find(text))
         parts: dict[int, list[bytes]] = {}
         for word in map(str.encode, sorted(words)):
@@ -146,7 +146,8 @@ def encoded(
             for word, ids in zip(unpack(words), unpack(values)):
                 known[word.decode()] = (ids, b"".join([tokens[i] for i in ids.split(b",")]))
         find, out = regex.compile(pattern).findall, {name: [] for name in (RESULT if with_ids else RESULT[:3])}
-        for text in block["text"]:
+        rows = undealt(block["rows"])
+        for text in rows["text"]:
             hits = [known[word] for word in find(text)]
             ids, decoded = map(bytes.join, (b",", b""), zip(*hits)) if hits else (b"", b"")
             out["n_tokens"].append(ids.count(b",") + 1 if hits else 0)
@@ -155,13 +156,14 @@ def encoded(
             if with_ids:
                 out["ids"].append(np.array(ids.split(b",") if hits else [], np.int32))
                 out["decoded"].append(decoded)
-        return block.drop(columns=["block", "text"]).assign(**out)
+        return rows.drop(columns="text").assign(**out)
 
     # Both uses of the dealt rows read one shuffle.
-    requests = rows.groupBy("block").applyInPandas(ask, "bucket long, block long, words binary")
+    packed = dealt(rows)
+    requests = packed.groupBy("block").applyInPandas(ask, "bucket long, block long, words binary")
     replies = requests.groupBy("bucket").applyInPandas(answer, "block long, words binary, ids binary")
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
     schema = ", ".join(x for x in (kept, "n_tokens long, ids_sha256 string, decoded_sha256 string", "ids array<int>, decoded binary" * with_ids) if x)
-    out = rows.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(reassemble, schema)
+    out = packed.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(reassemble, schema)
     results = out.columns[len(names) :]
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], *results)
