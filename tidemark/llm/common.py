@@ -57,6 +57,17 @@ def block_count(docs: DataFrame, text: str, block_bytes: int) -> int:
     return max(math.ceil(total / block_bytes), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def least(values: DataFrame, column: str, most: int) -> DataFrame:
+    """At most `most` distinct values of a column, those of least hash.
+
+    Values are first cut by a hash bound that lets about twice as many through, so neither
+    the sort nor its result grows with the table.
+    """
+    places = values.select(column).where(F.col(column).isNotNull()).distinct().withColumn("_place", F.pmod(F.xxhash64(column), F.lit(1 << 31)))
+    bound = math.ceil((1 << 31) * min(1.0, (2 * most + 100) / max(places.count(), 1)))
+    return places.where(F.col("_place") < bound).orderBy("_place", column).limit(most).select(column)
+
+
 def dealt(rows: DataFrame) -> DataFrame:
     """Rows with a number `block`, packed for the shuffle: `block` and compressed `rows`.
 

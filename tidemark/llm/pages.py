@@ -23,6 +23,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.common import least
+
 SAMPLE_PAGES = 200
 """Pages the field is trained on at most; as many again are laid out from their paragraphs, twice."""
 
@@ -285,8 +287,10 @@ def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES) ->
     """Train on at most `sample` pages of up to `SAMPLE_CHARS` characters, chosen by a hash of their markup."""
     html = F.col(f"`{html_col}`")
     rows = pages.select(html.alias("html")).where(F.length("html").between(1, SAMPLE_CHARS))
-    picked = rows.orderBy(F.xxhash64("html"), "html").limit(sample)
-    return train(labelled([r["html"] for r in picked.collect()]))
+    rows = rows.withColumn("key", F.xxhash64("html"))
+    keys = [r["key"] for r in least(rows, "key", sample).collect()]
+    picked = rows.where(F.col("key").isin(keys)).groupBy("key").agg(F.min("html").alias("html")).orderBy("key").collect()
+    return train(labelled([r["html"] for r in picked]))
 
 
 def main_texts(pages: DataFrame, model: Field, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:

@@ -20,7 +20,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from tidemark.llm.common import least
 
 MAX_TOXIC, MAX_CLEAN = 8_000, 12_000
 """Labelled documents of either class that the model is fitted on at most."""
@@ -146,7 +148,7 @@ def sample(labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_C
     for label, most in ((1, max_toxic), (0, max_clean)):
         rows = labels.where((F.col("label") == label) & F.col("id").isNotNull()).select("id").distinct()
         n = rows.count()
-        picked = rows.orderBy(F.xxhash64("id"), "id").limit(most)
+        picked = least(rows, "id", most)
         parts.append(picked.select("id", F.lit(label).alias("label"), F.lit(max(n, 1) / max(min(n, most), 1)).alias("weight")))
     return parts[0].unionByName(parts[1])
 
