@@ -14,6 +14,8 @@ from tidemark.session import fresh_folder
 Provider = Callable[[list[str]], np.ndarray]
 
 BLOCK_BYTES = 64 * 1024 * 1024
+SCORES_AT_ONCE = 4_000_000
+"""Scores that a task holds at the same time."""
 
 
 def hashed_words(dimensions: int = 64, words_at_once: int = 200_000) -> Callable[[], Provider]:
@@ -142,21 +144,24 @@ def _local_best(shared, k: int, id_column: str, vector: str, skip_self: bool):
             if batch.empty:
                 continue
             names = batch[id_column].to_numpy()
-            scores = _unit(np.vstack(batch[vector].to_numpy()).astype(np.float64)) @ matrix.T
-            for place, query_id in enumerate(query_ids):
-                kept.append(_head(query_id, names, scores[:, place], k, id_column, skip_self))
+            rows = _unit(np.vstack(batch[vector].to_numpy()).astype(np.float64))
+            width = max(1, SCORES_AT_ONCE // len(names))
+            for first in range(0, len(query_ids), width):
+                part = query_ids[first : first + width]
+                kept.append(_heads(part, names, rows @ matrix[first : first + width].T, k, id_column, skip_self))
             kept = [_best_rows(pd.concat(kept, ignore_index=True), k, id_column)]
         yield from kept
 
     return best
 
 
-def _head(query_id, names, scores, k: int, id_column: str, skip_self: bool) -> pd.DataFrame:
+def _heads(query_ids, names, scores: np.ndarray, k: int, id_column: str, skip_self: bool) -> pd.DataFrame:
+    """The k best rows of every column of scores, and those that equal the k-th."""
     if skip_self:
-        other = names != query_id
-        names, scores = names[other], scores[other]
-    order = np.lexsort((names, -scores))[:k]
-    return pd.DataFrame({"query_id": query_id, id_column: names[order], "score": scores[order]})
+        scores[names[:, None] == np.asarray(query_ids)[None, :]] = -np.inf
+    least = np.partition(scores, -k, axis=0)[-k] if len(names) > k else np.full(scores.shape[1], -np.inf)
+    row, column = np.nonzero((scores >= least) & (scores > -np.inf))
+    return pd.DataFrame({"query_id": np.asarray(query_ids)[column], id_column: names[row], "score": scores[row, column]})
 
 
 def _best_rows(rows: pd.DataFrame, k: int, id_column: str) -> pd.DataFrame:

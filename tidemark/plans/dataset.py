@@ -300,9 +300,10 @@ class Dataset:
     def __call__(self, query: str, **args) -> DataFrame:
         """Query the tables by name; `:name` parameters come from `args`."""
         made, shadowed = [], {}
-        system = [n for n in ("_dq_metrics",) if self.stored(n).exists]
+        named = [n for n in folders.names(self.spark, self.root) if re.search(rf"(?<!\w){re.escape(n)}(?!\w)", query, re.I)]
         try:
-            for name in [*self.tables, *system]:
+            # Only tables whose name occurs in the text are opened and listed.
+            for name in [n for n in named if (n == "_dq_metrics" or not n.startswith("_")) and self.stored(n).exists]:
                 if self.spark.catalog.tableExists(name):
                     shadowed[name] = self.spark.table(name)
                 self.table(name).createOrReplaceTempView(name)
