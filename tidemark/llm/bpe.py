@@ -14,7 +14,6 @@ import base64
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
