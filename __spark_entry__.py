@@ -9,7 +9,7 @@ write to a new folder under the session's shared folder and read the result back
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import timedelta
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
