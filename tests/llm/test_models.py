@@ -138,7 +138,7 @@ def test_suffix_tree_distributions(spark):
     paths = {0: {0: b""}}
     back = {int(tree.symbol[b]): bytes([b]) for b in range(255, -1, -1) if tree.symbol[b] < tree.size - 1}
     for d, step in enumerate(tree.steps):
-        paths[d + 1] = {int(step[k]): back[k % tree.size] + paths[d][k // tree.size] for k in np.flatnonzero(step >= 0)}
+        paths[d + 1] = {int(step[k]): back[k % tree.size] + paths[d][k // tree.size] for k in np.flatnonzero(step[: -tree.size] < step[-1])}
     for d in range(1, 5):
         assert len(paths[d]) == len(tree.logs[d])
         for state, context in paths[d].items():
