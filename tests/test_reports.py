@@ -93,6 +93,17 @@ def test_nearest_vectors_equal_brute_force(spark, monkeypatch, block_bytes):
     assert vectors.cosine_top_k(corpus, corpus.where("false"), 4).count() == 0
 
 
+@pytest.mark.parametrize("broken", [1, 6])
+def test_vectors_without_a_score_hide_no_neighbours(spark, broken):
+    made = np.random.default_rng(4).normal(size=(30, 4))
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(made)]
+    odd = [(100 + i, [1.0, float("nan") if i % 2 else None, 0.0, 0.0]) for i in range(broken)]
+    corpus = spark.createDataFrame([*data, *odd], "vec_id bigint, embedding array<double>").coalesce(1)
+    found = vectors.cosine_top_k(corpus, corpus.where("vec_id < 5"), 3)
+    assert sorted((r.query_id, r.vec_id) for r in found.collect()) == brute_nearest(data, data[:5], 3)
+    assert vectors.cosine_top_k(corpus, corpus.where("vec_id >= 100"), 3).count() == 0
+
+
 def test_embedding(spark):
     texts = [("the cat sat",), ("the cat sat",), ("a dog",), ("",), (None,)]
     df = spark.createDataFrame(texts, "t string").coalesce(1)

@@ -81,7 +81,8 @@ def cosine_top_k(
     Queries are sent to the tasks in passes whose size is checked, so any number of
     them works; with more than one pass, each result is written to the shared folder
     before the next block of queries is fetched. A task keeps only its own k best per
-    query; what is shuffled is that, never all pairs. Equal scores are ordered by id.
+    query; what is shuffled is that, never all pairs. Equal scores are ordered by id. A
+    vector with a NaN or null component has no score and is nobody's neighbour.
     """
     spark = corpus.sparkSession
     kind = corpus.schema[id_column].dataType
@@ -156,7 +157,8 @@ def _local_best(shared, k: int, id_column: str, vector: str, skip_self: bool):
 
 
 def _heads(query_ids, names, scores: np.ndarray, k: int, id_column: str, skip_self: bool) -> pd.DataFrame:
-    """The k best rows of every column of scores, and those that equal the k-th."""
+    """The k best rows of every column of scores, and those that equal the k-th; NaN is no score."""
+    scores[np.isnan(scores)] = -np.inf
     if skip_self:
         scores[names[:, None] == np.asarray(query_ids)[None, :]] = -np.inf
     least = np.partition(scores, -k, axis=0)[-k] if len(names) > k else np.full(scores.shape[1], -np.inf)
