@@ -1319,6 +1319,19 @@ def nearest_vectors(spark, sf_dir):
     return found.withColumn("score", F.round("score", 5))
 
 
+@query(
+    """SELECT query_id, vec_id, round(score, 5) AS score FROM (SELECT query_id, vec_id, score,
+ row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rn FROM
+ (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS score
+ FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)) WHERE rn <= 5"""
+)
+def nearest_hundredths(spark, sf_dir):
+    """The five nearest neighbours of every vector whose id is divisible by 100."""
+    corpus = table(spark, sf_dir, "embeddings")
+    found = vectors.cosine_top_k(corpus, corpus.where("vec_id % 100 = 0"), 5)
+    return found.withColumn("score", F.round("score", 5))
+
+
 # ---- contract -----------------------------------------------------------------
 
 

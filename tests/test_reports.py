@@ -93,6 +93,17 @@ def test_nearest_vectors_equal_brute_force(spark, monkeypatch, block_bytes):
     assert vectors.cosine_top_k(corpus, corpus.where("false"), 4).count() == 0
 
 
+def test_search_takes_every_hundredth_vector_without_the_driver(spark, monkeypatch):
+    from __spark_entry__ import queries
+
+    monkeypatch.setattr(type(spark.createDataFrame([(1,)], "a int")), "toLocalIterator", None)
+    corpus = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding")
+    data = [(r.vec_id, r.embedding) for r in corpus.collect()]
+    asked = [(i, v) for i, v in data if i % 100 == 0]
+    found = queries()["nearest_hundredths"](spark, "/root/testdata/sf0.01").collect()
+    assert sorted((r.query_id, r.vec_id) for r in found) == brute_nearest(data, asked, 5)
+
+
 @pytest.mark.parametrize("broken", [1, 6])
 def test_vectors_without_a_score_hide_no_neighbours(spark, broken):
     made = np.random.default_rng(4).normal(size=(30, 4))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tidemark.session import fresh_folder
-
 # A provider is built once per task and turns texts into one vector each.
 Provider = Callable[[list[str]], np.ndarray]
 
@@ -78,36 +78,36 @@ def cosine_top_k(
 ) -> DataFrame:
     """query_id, <id_column>, score: the k nearest corpus vectors of every query, exact.
 
-    Queries are sent to the tasks in passes whose size is checked, so any number of
-    them works; with more than one pass, each result is written to the shared folder
-    before the next block of queries is fetched. A task keeps only its own k best per
-    query; what is shuffled is that, never all pairs. Equal scores are ordered by id. A
-    vector with a NaN or null component has no score and is nobody's neighbour.
+    Both sides are dealt into blocks of about BLOCK_BYTES by a hash of the row; every
+    query block meets every corpus block in a task of its own, and no vector reaches the
+    driver. A task keeps only its own k best per query; what is ranked is that, never all
+    pairs. Equal scores are ordered by id. A vector with a NaN or null component has no
+    score and is nobody's neighbour.
     """
     spark = corpus.sparkSession
     kind = corpus.schema[id_column].dataType
     schema = T.StructType(
         [T.StructField("query_id", kind), T.StructField(id_column, kind), T.StructField("score", T.DoubleType())]
     )
-    vectors = corpus.select(id_column, vector)
-    blocks = _query_blocks(queries.select(id_column, vector))
-    block, following = next(blocks, None), next(blocks, None)
-    if block is None:
-        return spark.createDataFrame([], schema)
-    if following is None:
-        return _ranked(_block_best(vectors, block, k, skip_self, schema), k, id_column)
-    folder = fresh_folder(spark, "nearest")
-    number = 0
-    while block is not None:
-        _ranked(_block_best(vectors, block, k, skip_self, schema), k, id_column).write.parquet(f"{folder}/pass={number}")
-        block, following, number = following, next(blocks, None), number + 1
-    return spark.read.schema(schema).parquet(folder).select(schema.fieldNames())
-
-
-def _block_best(vectors: DataFrame, block, k: int, skip_self: bool, schema: T.StructType) -> DataFrame:
-    ids, matrix = block
-    shared = vectors.sparkSession.sparkContext.broadcast((ids, _unit(matrix)))
-    return vectors.mapInPandas(_local_best(shared, k, *vectors.columns, skip_self), schema)
+    left, right = (df.where(F.col(vector).isNotNull()).select(id_column, vector) for df in (corpus, queries))
+    # A small corpus still gives every core a block; that number does not grow with the rows.
+    corpus_blocks = max(_block_count(left, vector), spark.sparkContext.defaultParallelism)
+    query_blocks = _block_count(right, vector)
+    left = _dealt(left, "corpus_block", corpus_blocks, "query_block", query_blocks)
+    right = _dealt(right, "query_block", query_blocks, "corpus_block", corpus_blocks)
+    pairs = left.groupBy("corpus_block", "query_block").cogroup(right.groupBy("corpus_block", "query_block"))
+    return _ranked(pairs.applyInArrow(_block_best(k, id_column, vector, skip_self), schema), k, id_column)
+
+
+def _block_count(vectors: DataFrame, vector: str) -> int:
+    numbers = vectors.agg(F.sum(F.size(vector).cast("long"))).first()[0] or 0
+    return max(1, math.ceil(numbers * 8 / BLOCK_BYTES))
+
+
+def _dealt(vectors: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
+    """Every row with its block, once for each block of the other side."""
+    block = F.pmod(F.xxhash64(*vectors.columns), F.lit(blocks)).alias(own)
+    return vectors.select("*", block, F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
 
 
 def _ranked(best: DataFrame, k: int, id_column: str) -> DataFrame:
@@ -120,38 +120,30 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.where(norms == 0, 1, norms)
 
 
-def _query_blocks(queries: DataFrame):
-    """Query vectors in blocks of at most BLOCK_BYTES; one partition at a time reaches the driver."""
-    ids, rows, size = [], [], 0
-    for query_id, values in queries.toLocalIterator(prefetchPartitions=True):
-        if values is None:
-            continue
-        ids.append(query_id)
-        rows.append(np.asarray(values, dtype=np.float64))
-        size += rows[-1].nbytes
-        if size >= BLOCK_BYTES:
-            yield ids, np.vstack(rows)
-            ids, rows, size = [], [], 0
-    if ids:
-        yield ids, np.vstack(rows)
-
-
-def _local_best(shared, k: int, id_column: str, vector: str, skip_self: bool):
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, matrix = shared.value
-        kept: list[pd.DataFrame] = []
-        for batch in batches:
-            batch = batch[batch[vector].notna()]
-            if batch.empty:
-                continue
-            names = batch[id_column].to_numpy()
-            rows = _unit(np.vstack(batch[vector].to_numpy()).astype(np.float64))
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as rows; a null component is NaN."""
+    vectors = column.combine_chunks()
+    lengths = np.unique(vectors.value_lengths().to_numpy(zero_copy_only=False))
+    if len(lengths) > 1:
+        raise ValueError(f"vectors of different lengths: {lengths.tolist()}")
+    values = vectors.flatten().to_numpy(zero_copy_only=False)
+    return _unit(values.astype(np.float64).reshape(len(vectors), -1))
+
+
+def _block_best(k: int, id_column: str, vector: str, skip_self: bool):
+    def best(corpus: pa.Table, queries: pa.Table) -> pa.Table:
+        kind = corpus.schema.field(id_column).type
+        kept = [pd.DataFrame({"query_id": [], id_column: [], "score": []})]
+        if corpus.num_rows and queries.num_rows:
+            names, rows = corpus[id_column].to_pandas().to_numpy(), _matrix(corpus[vector])
+            query_ids, matrix = queries[id_column].to_pandas().to_numpy(), _matrix(queries[vector])
             width = max(1, SCORES_AT_ONCE // len(names))
-            for first in range(0, len(query_ids), width):
-                part = query_ids[first : first + width]
-                kept.append(_heads(part, names, rows @ matrix[first : first + width].T, k, id_column, skip_self))
-            kept = [_best_rows(pd.concat(kept, ignore_index=True), k, id_column)]
-        yield from kept
+            parts = (slice(at, at + width) for at in range(0, len(query_ids), width))
+            heads = (_heads(query_ids[p], names, rows @ matrix[p].T, k, id_column, skip_self) for p in parts)
+            kept = [_best_rows(head, k, id_column) for head in heads]
+        found = pd.concat(kept, ignore_index=True)
+        columns = {name: pa.array(found[name], kind, from_pandas=True) for name in ("query_id", id_column)}
+        return pa.table({**columns, "score": pa.array(found["score"], pa.float64())})
 
     return best
 
