@@ -43,6 +43,15 @@ def test_reading_of_markup():
     assert pages.blocks_of(None) == pages.blocks_of("") == pages.blocks_of("<div><p> \n</p></div>") == []
 
 
+def test_head_that_is_never_closed():
+    head = "<html><head><meta charset=utf-8><title>x <b>y</b></title><style>p {}</style><noscript><p>no</p></noscript><script>s</script>"
+    texts = lambda html: [b.text for b in pages.blocks_of(html)]
+    for rest in ("<p>some text", "<div><p>some text</div>", "<span>some</span> text", "some text", "<body><p>some text", "</head><p>some text"):
+        assert texts(head + rest) == ["some text"], rest
+    assert texts("<head><div>a</div><title>t</title><link rel=x></head><body><p>b") == ["a", "b"]
+    assert texts(head + "</head></html>") == []
+
+
 def test_odd_pages(spark, model):
     rows = [(1, None, "u"), (2, "", "u"), (3, "<p>", "u"), (3, "<p>", "u"), (None, "no markup at all", None), (4, "<div>" * 3000 + "deep", "u")]
     rows.append((5, "<article>" + "<p>A sentence of the story, told at length.</p>" * 20_000 + "</article>", "u"))

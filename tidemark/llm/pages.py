@@ -36,7 +36,9 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
-HIDDEN_TAGS = frozenset("head script style template noscript iframe object svg math canvas audio video".split())
+HIDDEN_TAGS = frozenset("head title script style template noscript iframe object svg math canvas audio video".split())
+# Start tags that leave an open head open.
+HEAD_TAGS = frozenset("html head title meta link base basefont bgsound style script noscript noframes template".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # The open elements that a start tag ends by itself.
 IMPLIED_ENDS = {
@@ -93,7 +95,15 @@ class _Reader(HTMLParser):
             self.hidden -= gone.tag in HIDDEN_TAGS
         del self.stack[index:]
 
+    def end_head(self) -> None:
+        """Close an open head: both tags that part it from the body may be left out."""
+        tags = [o.tag for o in self.stack]
+        if "head" in tags and not any(t in HIDDEN_TAGS and t != "head" for t in tags):
+            self.close_to(tags.index("head"))
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self.hidden and tag not in HEAD_TAGS:
+            self.end_head()
         if tag in BLOCK_TAGS:
             self.flush()
             ends = (*IMPLIED_ENDS.get(tag, ()), "p")
@@ -137,6 +147,8 @@ class _Reader(HTMLParser):
         return end + 1 if end >= 0 else -1
 
     def handle_data(self, data: str) -> None:
+        if self.hidden and self.stack[-1].tag == "head" and data.strip():
+            self.end_head()
         if not self.hidden:
             self.parts.append(data)
             if self.links > 0:
