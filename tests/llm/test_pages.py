@@ -109,3 +109,28 @@ def test_reading_warc_files(spark, tmp_path):
 
 def test_query_covers_all_pages(spark):
     assert QUERIES["op8_main_text"](spark, SF).count() == table(spark, SF, "pages").count()
+
+
+def test_audit_of_damaged_files(spark, tmp_path):
+    import gzip
+
+    make = lambda i: b"WARC/1.0\r\nWARC-Record-ID: <%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (i, 50 + i, b"x" * (50 + i))
+    flip = lambda r, at: r[:at] + bytes([r[at] ^ 1]) + r[at + 1 :]
+    for name, stored in (("a.warc", [make(i) for i in range(12)]), ("sub/b.warc.gz", [gzip.compress(make(i), mtime=0) for i in range(12)])):
+        length = stored[4].find(b"Content-Length: ") + 16
+        theirs = list(stored)
+        theirs[2] = flip(stored[2], len(stored[2]) - 9)
+        theirs[4] = flip(stored[4], length if length > 15 else 14)
+        theirs[8] = flip(stored[8], 0)
+        del theirs[6]
+        for side, records in (("ours", stored), ("theirs", theirs)):
+            (tmp_path / side / name).parent.mkdir(parents=True, exist_ok=True)
+            (tmp_path / side / name).write_bytes(b"".join(records))
+    sides = [warc.stored_files(spark, str(tmp_path / side)) for side in ("ours", "theirs")]
+    index = {(r["file"], r["offset"]): r["record_id"] for r in warc.read_warc(spark, str(tmp_path / "ours")).collect()}
+    faults = sorted((r["file"], index[r["file"], r["offset"]], r["fault"]) for r in warc.audit(*warc.replicas(*sides)).collect())
+    kinds = [("<2>", "changed"), ("<4>", "changed"), ("<6>", "missing"), ("<8>", "changed")]
+    assert faults == [(name, *kind) for name in ("a.warc", "sub/b.warc.gz") for kind in kinds]
+    read = warc.read_warc(spark, str(tmp_path / "theirs")).collect()
+    assert {r["file"] for r in read} == {"a.warc", "sub/b.warc.gz"}
+    assert all(sum(r["record_id"] == f"<{i}>" for r in read) == 2 for i in (0, 1, 3, 5, 7, 9, 10, 11))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, decontaminate, exact, neardup, pages, quality, repeats, suffix_tree, toxicity, warc
 from tidemark.llm.common import Scratch, table, utf8
+from tidemark.session import fresh_folder
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -124,11 +125,21 @@ _HEAD_SQL = (
  FROM placed WHERE page_id % 89 = 3 OR page_id % 97 = 5"""
 )
 def op3_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pages as archives, against a replica that lost some records and changed one byte of others."""
+    """The pages as archives, against a replica that lost some records and has damaged headers, lengths and payloads of others.
+
+    Both are written as WARC files and read again; only the sound one is read by its lengths.
+    """
     ours = warc.archived(table(spark, sf_dir, "pages"), PAGES_PER_FILE, "page_id", "url", "html")
-    flipped = F.concat(F.lit(b"w"), F.substring("record", 2, 2**31 - 1))
-    theirs = ours.where("id % 89 <> 3").withColumn("record", F.when(F.col("id") % 97 == 5, flipped).otherwise(F.col("record")))
-    found = warc.audit(ours.drop("id"), theirs.drop("id"))
+    text = F.col("record").cast("string")
+    damaged = (
+        F.when(F.col("id") % 3 == 0, F.overlay(text, F.lit("w"), F.lit(1)))
+        .when(F.col("id") % 3 == 1, F.overlay(text, F.lit("x"), F.instr(text, "\r\nContent-Length: ") + 18))
+        .otherwise(F.overlay(text, F.lit("\x01"), F.length(text) - 4))
+    )
+    theirs = ours.where("id % 89 <> 3").withColumn("record", F.when(F.col("id") % 97 == 5, damaged.cast("binary")).otherwise(F.col("record")))
+    folder = fresh_folder(spark, "archives")
+    sides = [warc.write_plain(side, f"{folder}/{name}") for name, side in (("ours", ours), ("theirs", theirs))]
+    found = warc.audit(*warc.replicas(*sides))
     return found.join(ours.select("file", "offset", F.col("id").alias("page_id")), ["file", "offset"]).select("page_id", "file", "offset", "fault")
 
 

@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import math
 import zlib
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -24,6 +26,8 @@ from tidemark.llm.common import Scratch
 
 RANGE_BYTES = 64 << 10
 FANOUT = 16
+GZIP = b"\x1f\x8b"
+CHUNK_BYTES = 64 << 10
 
 
 def record_bytes(record_id: Column, uri: Column, payload: Column) -> Column:
@@ -48,11 +52,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     (the stored record, uncompressed). A file is read by one task, so files should keep to
     the usual size of about 1 GB. What follows a broken header is one record of type null.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = stored_files(spark, path)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, data in zip(batch["path"], batch["content"]):
+            for name, data in zip(batch["file"], batch["content"]):
                 for offset, length, record in split_records(bytes(data)):
                     head = headers(record)
                     yield pd.DataFrame(
@@ -78,23 +82,143 @@ def headers(record: bytes) -> dict[str, str]:
     return {name.strip().lower(): value.strip() for name, _, value in pairs}
 
 
+def _member(data: bytes, at: int) -> tuple[int, bytes] | None:
+    """Stored length and bytes of the gzip member at a place; None where it is damaged or cut off."""
+    member, view, place, parts = zlib.decompressobj(wbits=31), memoryview(data), at, []
+    try:
+        while place < len(data) and not member.eof:
+            parts.append(member.decompress(view[place : place + CHUNK_BYTES]))
+            place = min(place + CHUNK_BYTES, len(data))
+    except zlib.error:
+        return None
+    return (place - len(member.unused_data) - at, b"".join(parts)) if member.eof else None
+
+
+def _starts(data: bytes, at: int) -> bool:
+    return data.startswith((GZIP, b"WARC/"), at)
+
+
+def _resumed(data: bytes, at: int) -> int:
+    """The next place after `at` where a record can start: a header behind an empty line, or a gzip member that is whole."""
+    header = data.find(b"\r\n\r\nWARC/", at)
+    header = header + 4 if header >= 0 else len(data)
+    magic = data.find(GZIP, at + 1, header)
+    while magic >= 0 and _member(data, magic) is None:
+        magic = data.find(GZIP, magic + 1, header)
+    return magic if magic >= 0 else header
+
+
 def split_records(data: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """Offset, stored length and bytes of each record of a file."""
+    """Offset, stored length and bytes of each record of a file.
+
+    A damaged record is given as it is stored, up to the place where the next one starts.
+    """
     at = 0
     while at < len(data):
-        if data[at : at + 2] == b"\x1f\x8b":
-            member = zlib.decompressobj(wbits=31)
-            record = member.decompress(data[at:])
-            length = len(data) - at - len(member.unused_data)
+        if data.startswith(GZIP, at) and (member := _member(data, at)):
+            length, record = member
         else:
             end = data.find(b"\r\n\r\n", at)
             size = headers(data[at : end + 4]).get("content-length", "") if end >= 0 else ""
-            length = end + 4 + int(size) + 4 - at if size.isdigit() else len(data) - at
+            stop = end + 4 + int(size) + 4 if size.isdecimal() else len(data) + 1
+            whole = stop <= len(data) and data[stop - 4 : stop] == b"\r\n\r\n"
+            if not (whole and (stop == len(data) or _starts(data, stop))):
+                # The length is damaged, or what follows is.
+                resumed = _resumed(data, at)
+                stop = stop if whole and resumed >= stop else resumed
+            length = stop - at
             record = data[at : at + length]
-        yield at, min(length, len(data) - at), record
+        yield at, length, record
         at += length
 
 
+def realigned(sound: bytes, other: bytes) -> Iterator[tuple[int, bytes]]:
+    """The stored records of a file, as another replica has them, by their offsets in the sound one.
+
+    Records that the other replica lost are left out, wherever its later ones have moved;
+    what only the other has stands behind the end of the sound file. A stretch between two
+    records that agree is matched by record id, then by length, then in order.
+    """
+    index = [(at, sound[at : at + length], record) for at, length, record in split_records(sound)]
+    places: dict[bytes, list[int]] = {}
+    for at, length, _ in split_records(other):
+        places.setdefault(other[at : at + length], []).append(at)
+
+    def after(stored: bytes, place: int) -> int | None:
+        found = places.get(stored, [])
+        k = bisect_left(found, place)
+        return found[k] if k < len(found) else None
+
+    place, i, extra = 0, 0, len(sound)
+    while i < len(index) or place < len(other):
+        if i < len(index) and other.startswith(index[i][1], place):
+            yield index[i][:2]
+            place += len(index[i][1])
+            i += 1
+            continue
+        met = ((k, after(index[k][1], place)) for k in range(i, len(index)))
+        j, stop = next(((k, p) for k, p in met if p is not None), (len(index), len(other)))
+        lost, gap = index[i:j], other[place:stop]
+        if len(gap) == sum(len(stored) for _, stored, _ in lost):
+            # Nothing moved: the sound offsets hold, however damaged the headers are.
+            yield from ((at, gap[at - lost[0][0] :][: len(stored)]) for at, stored, _ in lost)
+        else:
+            pieces = [(at, gap[at : at + length], record) for at, length, record in split_records(gap)]
+            for key in (lambda r: headers(r[2]).get("warc-record-id"), lambda r: len(r[1]), lambda r: "any"):
+                waiting: dict = {}
+                for record in lost:
+                    waiting.setdefault(key(record), deque()).append(record)
+                matched, left = set(), []
+                for piece in pieces:
+                    if (k := key(piece)) is not None and waiting.get(k):
+                        record = waiting[k].popleft()
+                        matched.add(record[0])
+                        yield record[0], piece[1]
+                    else:
+                        left.append(piece)
+                lost, pieces = [r for r in lost if r[0] not in matched], left
+            for _, stored, _ in pieces:
+                yield extra, stored
+                extra += len(stored)
+        place, i = stop, j
+
+
+def stored_files(spark: SparkSession, path: str) -> DataFrame:
+    """`file`, `content` of the files in and below a folder; names are relative to it, so that replicas agree on them."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString().rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    inside = F.expr(f"substring(path, {len(root) + 2})")
+    name = F.when(F.startswith("path", F.lit(root + "/")), inside).otherwise(F.substring_index("path", "/", -1))
+    return files.select(name.alias("file"), "content")
+
+
+def replicas(ours: DataFrame, theirs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two replicas (`file`, `content`) as tables for `audit`: the stored bytes of both, by the offsets of `ours`, the sound one."""
+    kind = ours.schema["file"].dataType.simpleString()
+    both = ours.select("file", "content").join(theirs.select("file", F.col("content").alias("other")), "file", "full")
+
+    def placed(batches: Iterator[pd.DataFrame], other: str) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, sound, stored in zip(batch["file"], batch["content"], batch[other]):
+                rows = list(realigned(bytes(sound or b""), bytes(stored or b"")))
+                yield pd.DataFrame({"file": name, "offset": [at for at, _ in rows], "record": [r for _, r in rows]})
+
+    schema = f"file {kind}, offset long, record binary"
+    return tuple(df.mapInPandas(partial(placed, other=c), schema) for df, c in ((ours, "content"), (both, "other")))
+
+
+def write_plain(records: DataFrame, path: str) -> DataFrame:
+    """Write records (`file`, `offset`, `record`, each ended by an empty line) as plain archives, one folder per file; `file`, `content` of them."""
+    spark, kind = records.sparkSession, records.schema["file"].dataType
+    # The text writer ends every row with the last two bytes of its record.
+    text = F.expr("substring(record, 1, octet_length(record) - 2)").cast("string").alias("value")
+    rows = records.repartition("file").sortWithinPartitions("file", "offset").select("file", text)
+    rows.write.partitionBy("file").option("lineSep", "\r\n").text(path)
+    number = F.regexp_extract("file", "file=([^/]*)/", 1).cast(kind)
+    return stored_files(spark, path).select(number.alias("file"), "content")
+
+
 def tree(records: DataFrame, fanout: int = FANOUT, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Nodes of every file's tree: `file`, `level`, `no`, `hash`; level 0 has the records, `no` their offset.
 
