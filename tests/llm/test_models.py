@@ -155,3 +155,10 @@ def test_suffix_tree_distributions(spark):
 def test_suffix_tree_beats_single_words(spark):
     rows = [r for r in QUERIES["op5_suffix_tree"](spark, SF).collect() if r["held_out"]]
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
+def test_many_sentences_without_evidence_are_not_toxic():
+    text = "The plain words of a calm tale go on. " * 5000
+    for model in (toxicity.Model({}, np.zeros(0), -6.0), toxicity.Model({"vile": 0}, np.array([9.0]), -6.0)):
+        score, start, end, worst = model.scores(text, toxicity.Lookup(model.index))
+        assert score == worst == 0 and start == 0 < end

@@ -87,17 +87,14 @@ class Model:
         log_clean, worst, at = 0.0, -np.inf, (0, 0)
         for a, b in sentences(text):
             found = lookup.bag(text[a:b])
-            logit = self.bias + sum(self.weights[i] for i in found) if found else self.bias
-            log_clean -= np.logaddexp(0.0, logit) if found else self._plain
-            if logit > worst:
+            # A sentence without any known feature is no evidence, however many there are.
+            logit = self.bias + sum(self.weights[i] for i in found) if found else -np.inf
+            log_clean -= np.logaddexp(0.0, logit)
+            if logit > worst or not at[1]:
                 worst, at = logit, (a, b)
         chance = float(1 / (1 + np.exp(-worst))) if at[1] else 0.0
         return float(-np.expm1(log_clean)), *at, chance
 
-    @property
-    def _plain(self) -> float:
-        return float(np.logaddexp(0.0, self.bias))
-
 
 def train(
     features: np.ndarray,
@@ -157,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Fit on a sample of the rows of `labels` (0 or 1; others and nulls are passed over) that `docs` has.
 
     An id that is labelled both 0 and 1 counts once each way. Without documents of both
-    classes the model has no features and gives every sentence the same small chance.
+    classes the model has no features and gives every sentence the score 0.
     """
     ids = sample(labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label")), **bounds)
     # The sample is bounded, so it may go to every task; the texts stay where they are.
