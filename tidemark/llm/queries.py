@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, exact, neardup, pages, quality, repeats, suffix_tree, toxicity, warc
+from tidemark.llm import bpe, decontaminate, exact, neardup, pages, quality, repeats, shallot, suffix_tree, toxicity, warc
 from tidemark.llm.common import Scratch, table, utf8
 from tidemark.session import fresh_folder
 
@@ -152,3 +154,47 @@ def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
     return suffix_tree.scored(table(spark, sf_dir, "documents"), held_out)
+
+
+CENTROIDS, ROUNDS, DIMENSIONS = 16, 3, 64
+
+
+def _clusters_sql() -> str:
+    """Rounds are unrolled; each is a distance to every centroid, the least (distance, number), and floored means."""
+    parts = [
+        f"""v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+ FROM embeddings WHERE len(embedding) = {DIMENSIONS} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), e) - 1 AS c, e FROM v
+ QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id), e) <= {CENTROIDS})""",
+    ]
+    squared = "list_sum(list_transform(list_zip(v.e, c.e), lambda p: CAST((p[1] - p[2]) * (p[1] - p[2]) AS BIGINT)))"
+    for i in range(ROUNDS + 1):
+        parts.append(
+            f"""a{i} AS (SELECT r, arg_min(c, (d, c)) AS c, CAST(min(d) AS BIGINT) AS d FROM
+ (SELECT v.r, c.c, CAST({squared} AS BIGINT) AS d FROM v, c{i} c) GROUP BY r)"""
+        )
+        if i < ROUNDS:
+            parts.append(
+                f"""m{i} AS (SELECT c, list(CAST((s - (((s % n) + n) % n)) // n AS BIGINT) ORDER BY j) AS e FROM
+ (SELECT a.c, j, CAST(sum(v.e[j]) AS BIGINT) AS s, count(*) AS n FROM v JOIN a{i} a USING (r), range(1, {DIMENSIONS + 1}) t(j) GROUP BY a.c, j) GROUP BY c)"""
+            )
+            parts.append(f"c{i + 1} AS (SELECT c.c, coalesce(m.e, c.e) AS e FROM c{i} c LEFT JOIN m{i} m USING (c))")
+    return f"""WITH {", ".join(parts)}
+ SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+ CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(k.e, ',')) AS centroid_sha256
+ FROM a{ROUNDS} JOIN v USING (r) JOIN c{ROUNDS} k USING (c)"""
+
+
+@query(_clusters_sql())
+def op13_shallot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shallot.centroid_clusters(table(spark, sf_dir, "embeddings"), CENTROIDS, ROUNDS, DIMENSIONS)
+    hashes = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in found.centroids]
+    place = F.col("cluster") + 1
+    return found.rows.select(
+        "vec_id",
+        "cluster",
+        "distance",
+        F.element_at(F.array(*map(F.lit, found.inertia)).cast("array<long>"), place).alias("cluster_inertia"),
+        F.lit(sum(found.inertia)).cast("long").alias("inertia"),
+        F.element_at(F.array(*map(F.lit, hashes)).cast("array<string>"), place).alias("centroid_sha256"),
+    )
