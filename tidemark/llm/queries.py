@@ -7,7 +7,7 @@ import hashlib
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, exact, neardup, pages, quality, repeats, shallot, suffix_tree, toxicity, warc
+from tidemark.llm import bpe, decontaminate, exact, manifest, neardup, pages, quality, repeats, shallot, suffix_tree, toxicity, warc
 from tidemark.llm.common import Scratch, table, utf8
 from tidemark.session import fresh_folder
 
@@ -198,3 +198,66 @@ def op13_shallot(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(sum(found.inertia)).cast("long").alias("inertia"),
         F.element_at(F.array(*map(F.lit, hashes)).cast("array<string>"), place).alias("centroid_sha256"),
     )
+
+
+TAMPERED = 5
+
+
+def _manifest_sql(fan: int = 16, leaf_levels: int = 5, source_levels: int = 2) -> str:
+    """The tree level by level, for up to fan**leaf_levels rows of a source and fan**source_levels sources."""
+
+    def h(text: str) -> str:
+        return "sha256('' || " + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    crc = """list_reduce(flatten(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+ lambda j: list_concat([CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(j AS INT), 1)) AS BIGINT)], [-1, -1, -1, -1, -1, -1, -1, -1]))),
+ lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, 3988292384 * (c & 1)) END, CAST(4294967295 AS BIGINT))"""
+    parts = [
+        f"""leaves AS (SELECT row_number() OVER () AS r, doc_id, source, {h("text")} AS leaf,
+ CASE WHEN coalesce(xor({crc}, 4294967295) % {TAMPERED} = 0, false) THEN {h(f"translate(text, '{decontaminate.UPPER}', '{decontaminate.LOWER}')")} ELSE {h("text")} END AS changed FROM documents)""",
+        "t0 AS (SELECT *, leaf AS h, coalesce('+' || source, '') AS g, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves)",
+        "s0 AS (SELECT g, i, h, count(*) OVER (PARTITION BY g) AS n FROM t0)",
+    ]
+
+    def climb(name: str, levels: int) -> None:
+        for k in range(levels):
+            run = f"PARTITION BY g, i // {fan} ORDER BY i ROWS BETWEEN"
+            parts.append(
+                f"""{name}p{k} AS (SELECT g, i, n, h, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+ coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a FROM {name}{k} WHERE n > 1)"""
+            )
+            parts.append(
+                f"""{name}{k + 1} AS (SELECT g, i // {fan} AS i, sha256(string_agg(h, '' ORDER BY i)) AS h, (any_value(n) + {fan - 1}) // {fan} AS n
+ FROM {name}{k} WHERE n > 1 GROUP BY g, i // {fan} UNION ALL SELECT g, i, h, n FROM {name}{k} WHERE n = 1)"""
+            )
+
+    climb("s", leaf_levels)
+    parts.append(f"u0 AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, h, count(*) OVER () AS n, g AS member FROM s{leaf_levels})")
+    climb("u", source_levels)
+    columns, joins, proof, fold = [], [], [], "changed"
+    for name, levels, at in (("s", leaf_levels, "t0.i"), ("u", source_levels, "u0.i")):
+        for k in range(levels):
+            p = f"{name}p{k}"
+            joins.append(f"LEFT JOIN {p} ON {p}.g = {'t0.g' if name == 's' else chr(39) * 2} AND {p}.i = {at} // {fan**k}")
+            proof.append(f"coalesce({p}.b || {p}.a, '')")
+            columns.append(f"{p}.b AS {p}b, {p}.a AS {p}a")
+    parts.append(
+        f"""w0 AS (SELECT t0.*, u0.h AS subroot, sha256({" || ".join(proof)}) AS proof, {", ".join(columns)}, changed AS f
+ FROM t0 JOIN u0 ON u0.member = t0.g {" ".join(joins)})"""
+    )
+    steps = [f"sp{k}" for k in range(leaf_levels)] + [f"up{k}" for k in range(source_levels)]
+    for j, p in enumerate(steps):
+        parts.append(f"w{j + 1} AS (SELECT * REPLACE (CASE WHEN {p}b IS NULL THEN f ELSE sha256({p}b || f || {p}a) END AS f) FROM w{j})")
+    return f"""WITH {", ".join(parts)} SELECT doc_id, leaf, subroot, (SELECT h FROM u{source_levels}) AS root, proof AS proof_sha256,
+ f AS folded_root, f = (SELECT h FROM u{source_levels}) AS verified FROM w{len(steps)}"""
+
+
+@query(_manifest_sql())
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", decontaminate.UPPER, decontaminate.LOWER)
+    changed = F.when(remainder("doc_id", TAMPERED) == 0, manifest.digest(*fields, lowered))
+    tree = manifest.built(docs, F.col("source"), F.col("doc_id"), manifest.digest(*fields, F.col("text")), changed, {"doc_id": F.col("doc_id")})
+    folded = F.element_at("copies", -1)
+    return tree.rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
