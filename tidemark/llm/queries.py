@@ -7,7 +7,7 @@ import hashlib
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, exact, manifest, neardup, pages, quality, repeats, shallot, suffix_tree, toxicity, warc
+from tidemark.llm import bpe, decontaminate, exact, manifest, neardup, pages, quality, randomness, repeats, shallot, suffix_tree, toxicity, warc
 from tidemark.llm.common import Scratch, table, utf8
 from tidemark.session import fresh_folder
 
@@ -261,3 +261,15 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = manifest.built(docs, F.col("source"), F.col("doc_id"), manifest.digest(*fields, F.col("text")), changed, {"doc_id": F.col("doc_id")})
     folded = F.element_at("copies", -1)
     return tree.rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
+
+
+@query()
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = randomness.scanned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("findings", lambda x: x["kind"] != "random")
+
+    def written(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    counts = [F.expr(f"CAST(size(filter(findings, x -> x.kind = '{kind}')) AS long)").alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("findings")).alias("spans"))
