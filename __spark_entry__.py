@@ -20,6 +20,7 @@ from tidemark.functions import (
 )
 from tidemark.operators import curation, intervals, normalize, quality, vectors
 from tidemark.operators.quality import checks, metrics
+from tidemark.operators.vector_index import VectorIndex
 from tidemark.plans import Pipeline, Resource, Source, commits, paged_resource, quakes, shop, transformation, videos
 from tidemark.session import apply_settings, fresh_folder
 from tidemark.sources import bounded_events, dated, feature_files, json_pages, parquet_glob, parquet_tree
@@ -1304,18 +1305,17 @@ def embedded_lengths(spark, sf_dir):
     return vector.select("doc_id", F.round(F.sqrt(square), 3).alias("length"), F.size("vector").alias("dimensions"))
 
 
-@query(
-    """WITH q AS (SELECT label, min(vec_id) AS query_id, arg_min(embedding, vec_id) AS qe FROM embeddings GROUP BY label)
- SELECT query_id, vec_id, round(score, 5) AS score FROM (SELECT query_id, vec_id, score,
+_NEIGHBOURS_SQL = """SELECT query_id, vec_id, score FROM (SELECT query_id, vec_id, score,
  row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rn FROM
- (SELECT q.query_id, c.vec_id, list_cosine_similarity(CAST(q.qe AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS score
- FROM q JOIN embeddings c ON q.query_id <> c.vec_id)) WHERE rn <= 5"""
-)
+ (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS score
+ FROM embeddings q JOIN embeddings c ON {met} WHERE q.vec_id % 100 = 0)) WHERE rn <= {k}"""
+
+
+@query(f"SELECT query_id, vec_id, round(score, 5) AS score FROM ({_NEIGHBOURS_SQL.format(met='true', k=10)})")
 def nearest_vectors(spark, sf_dir):
-    """The five nearest neighbours of the first vector of every label."""
+    """The ten nearest vectors, itself included, of every vector whose id is divisible by 100."""
     corpus = table(spark, sf_dir, "embeddings")
-    first = corpus.groupBy("label").agg(F.min("vec_id").alias("q"), F.min_by("embedding", "vec_id").alias("embedding"))
-    found = vectors.cosine_top_k(corpus, first.select(F.col("q").alias("vec_id"), "embedding"), 5)
+    found = vectors.cosine_top_k(corpus, corpus.where("vec_id % 100 = 0"), 10, skip_self=False)
     return found.withColumn("score", F.round("score", 5))
 
 
@@ -1332,6 +1332,37 @@ def nearest_hundredths(spark, sf_dir):
     return found.withColumn("score", F.round("score", 5))
 
 
+def _vector_index(spark, sf_dir) -> VectorIndex:
+    return VectorIndex.build(table(spark, sf_dir, "embeddings"), fresh_folder(spark, "vectors"))
+
+
+@query()
+def nearest_indexed(spark, sf_dir):
+    """The five nearest neighbours of every vector whose id is divisible by 100, from the cells it probes."""
+    asked = table(spark, sf_dir, "embeddings").where("vec_id % 100 = 0")
+    return _vector_index(spark, sf_dir).search(asked, 5).withColumn("score", F.round("score", 5))
+
+
+@query(
+    """SELECT (SELECT count(*) FROM embeddings) AS indexed, count(*) AS neighbours, count(DISTINCT query_id) AS queries, true AS recall_reached
+ FROM (SELECT q.vec_id AS query_id, row_number() OVER (PARTITION BY q.vec_id) AS rn
+ FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0) WHERE rn <= 5"""
+)
+def index_recall(spark, sf_dir):
+    """How the index compares with the exact search: rows it holds, neighbours there are, and whether it finds nine of ten."""
+    corpus = table(spark, sf_dir, "embeddings")
+    asked = corpus.where("vec_id % 100 = 0")
+    index = _vector_index(spark, sf_dir)
+    found = index.search(asked, 5).select("query_id", "vec_id", F.lit(1).alias("hit"))
+    joined = vectors.cosine_top_k(corpus, asked, 5).join(found, ["query_id", "vec_id"], "left")
+    return joined.agg(
+        F.lit(sum(index.counts.values())).alias("indexed"),
+        F.count(F.lit(1)).alias("neighbours"),
+        F.count_distinct("query_id").alias("queries"),
+        (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_reached"),
+    )
+
+
 # ---- contract -----------------------------------------------------------------
 
 

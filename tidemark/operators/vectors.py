@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Mapping
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # A provider is built once per task and turns texts into one vector each.
 Provider = Callable[[list[str]], np.ndarray]
@@ -75,6 +75,7 @@ def cosine_top_k(
     id_column: str = "vec_id",
     vector: str = "embedding",
     skip_self: bool = True,
+    dimensions: int | None = None,
 ) -> DataFrame:
     """query_id, <id_column>, score: the k nearest corpus vectors of every query, exact.
 
@@ -82,28 +83,49 @@ def cosine_top_k(
     query block meets every corpus block in a task of its own, and no vector reaches the
     driver. A task keeps only its own k best per query; what is ranked is that, never all
     pairs. Equal scores are ordered by id. A vector with a NaN or null component has no
-    score and is nobody's neighbour.
+    score and is nobody's neighbour; nor is one whose length is not `dimensions`, by default
+    the commonest length of the corpus (see `rejected_vectors`).
     """
     spark = corpus.sparkSession
-    kind = corpus.schema[id_column].dataType
-    schema = T.StructType(
-        [T.StructField("query_id", kind), T.StructField(id_column, kind), T.StructField("score", T.DoubleType())]
-    )
-    left, right = (df.where(F.col(vector).isNotNull()).select(id_column, vector) for df in (corpus, queries))
+    schema = _neighbours(corpus, id_column)
+    corpus_numbers, commonest = _lengths(corpus, vector)
+    width = dimensions or commonest
+    left, right = (df.where(F.size(vector) == width).select(id_column, vector) for df in (corpus, queries))
     # A small corpus still gives every core a block; that number does not grow with the rows.
-    corpus_blocks = max(_block_count(left, vector), spark.sparkContext.defaultParallelism)
-    query_blocks = _block_count(right, vector)
+    corpus_blocks = max(_blocks(corpus_numbers), spark.sparkContext.defaultParallelism)
+    query_blocks = _blocks(_lengths(right, vector)[0])
     left = _dealt(left, "corpus_block", corpus_blocks, "query_block", query_blocks)
     right = _dealt(right, "query_block", query_blocks, "corpus_block", corpus_blocks)
     pairs = left.groupBy("corpus_block", "query_block").cogroup(right.groupBy("corpus_block", "query_block"))
     return _ranked(pairs.applyInArrow(_block_best(k, id_column, vector, skip_self), schema), k, id_column)
 
 
-def _block_count(vectors: DataFrame, vector: str) -> int:
-    numbers = vectors.agg(F.sum(F.size(vector).cast("long"))).first()[0] or 0
+def rejected_vectors(df: DataFrame, vector: str = "embedding", dimensions: int | None = None) -> DataFrame:
+    """Rows that no search can find: the vector is null, of another length, or has a null, NaN or infinite component."""
+    return df.where(~_usable(vector, dimensions or _lengths(df, vector)[1]))
+
+
+def _usable(vector: str, dimensions: int) -> Column:
+    finite = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
+    return F.coalesce((F.size(vector) == dimensions) & finite, F.lit(False))
+
+
+def _lengths(vectors: DataFrame, vector: str) -> tuple[int, int]:
+    """How many components there are, and the commonest length (the greater on ties)."""
+    sizes = vectors.where(F.col(vector).isNotNull()).groupBy(F.size(vector).cast("long").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.agg(F.sum(F.col("size") * F.col("n")).alias("numbers"), F.max_by("size", F.struct("n", "size")).alias("size")).first()
+    return found.numbers or 0, found.size or 0
+
+
+def _blocks(numbers: int) -> int:
     return max(1, math.ceil(numbers * 8 / BLOCK_BYTES))
 
 
+def _neighbours(corpus: DataFrame, id_column: str) -> T.StructType:
+    kind = corpus.schema[id_column].dataType
+    return T.StructType([T.StructField("query_id", kind), T.StructField(id_column, kind), T.StructField("score", T.DoubleType())])
+
+
 def _dealt(vectors: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
     """Every row with its block, once for each block of the other side."""
     block = F.pmod(F.xxhash64(*vectors.columns), F.lit(blocks)).alias(own)
