@@ -1005,7 +1005,7 @@ def _active_days(spark, sf_dir) -> DataFrame:
 )
 def coverage_islands(spark, sf_dir):
     """Runs of days on which a user was active."""
-    return intervals.islands(_active_days(spark, sf_dir), "day_start", "day_end", ["user_id"], bucket="week")
+    return intervals.islands(_active_days(spark, sf_dir), "day_start", "day_end", ["user_id"])
 
 
 @query(
@@ -1014,7 +1014,7 @@ def coverage_islands(spark, sf_dir):
  WHERE next_start IS NOT NULL"""
 )
 def coverage_gaps(spark, sf_dir):
-    return intervals.gaps(_active_days(spark, sf_dir), "day_start", "day_end", ["user_id"], bucket="week")
+    return intervals.gaps(_active_days(spark, sf_dir), "day_start", "day_end", ["user_id"])
 
 
 @query(
@@ -1024,7 +1024,7 @@ def coverage_gaps(spark, sf_dir):
  SELECT user_id, min(s) AS island_start, max(e) AS island_end, count(*) AS n FROM g GROUP BY user_id, island"""
 )
 def overlapping_intervals(spark, sf_dir):
-    """Intervals of up to four days that overlap in any way, cut at day edges on the way."""
+    """Intervals of up to four days that overlap in any way."""
     k = F.from_json("props", "k bigint").getField("k")
     spans = table(spark, sf_dir, "events").select(
         "user_id", "ts", (F.col("ts") + F.make_dt_interval(hours=k.cast("int"))).alias("until")
@@ -1050,7 +1050,33 @@ def freshness_with_holes(spark, sf_dir):
         (day + F.expr("INTERVAL 1 DAY")).alias("interval_end"),
         F.when(F.col("value") >= 10, "completed").otherwise("failed").alias("status"),
     )
-    return intervals.freshness(log, TimeWindow("2024-01-05", "2024-01-12"), bucket="week")
+    return intervals.freshness(log, TimeWindow("2024-01-05", "2024-01-12"))
+
+
+@query(
+    """WITH s AS (SELECT ts AS s, ts + to_minutes(CAST(1 + event_id % 7 AS BIGINT)) AS e FROM events WHERE event_id % 3 > 0 OR event_id % 1000 = 0),
+ m AS (SELECT *, max(e) OVER (ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s)
+ SELECT before AS gap_start, s AS gap_end FROM m WHERE before < s"""
+)
+def uncovered_minutes(spark, sf_dir):
+    """Times at which nothing ran, over the whole table as one group."""
+    runs = table(spark, sf_dir, "events").where("event_id % 3 > 0 OR event_id % 1000 = 0")
+    spans = runs.select("ts", (F.col("ts") + F.make_dt_interval(mins=(1 + F.col("event_id") % 7).cast("int"))).alias("until"))
+    return intervals.gaps(spans, "ts", "until")
+
+
+@query(
+    """WITH s AS (SELECT o_custkey % 3 = 0 AS held, CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate AS DATE) + CAST(CASE WHEN o_orderkey % 97 = 0 THEN 3650 ELSE 1 END AS INTEGER) AS e FROM orders),
+ m AS (SELECT *, max(e) OVER (PARTITION BY held ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s),
+ g AS (SELECT *, sum(CASE WHEN s <= before THEN 0 ELSE 1 END) OVER (PARTITION BY held ORDER BY s, e) AS island FROM m)
+ SELECT held, min(s) AS island_start, max(e) AS island_end, count(*) AS n FROM g GROUP BY held, island"""
+)
+def decades_of_orders(spark, sf_dir):
+    """Two groups, one with two thirds of all rows, and intervals of ten years among those of a day."""
+    days = F.when(F.col("o_orderkey") % 97 == 0, 3650).otherwise(1)
+    first = F.col("o_orderdate").cast("date").alias("s")
+    spans = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 3 == 0).alias("held"), first, F.date_add(F.col("o_orderdate").cast("date"), days).alias("e"))
+    return intervals.islands(spans, "s", "e", ["held"])
 
 
 @query(

@@ -25,8 +25,19 @@ def log(spark, spans, kind="timestamp_ntz"):
     return df.select("job", F.col("s").cast(kind).alias("s"), F.col("e").cast(kind).alias("e"))
 
 
-@pytest.mark.parametrize("seed,longest,bucket", [(1, 5, "day"), (2, 60, "day"), (3, 400, "day"), (4, 30, "week"), (5, 3, "hour")])
-def test_islands_and_gaps_equal_brute_force(spark, seed, longest, bucket):
+@pytest.fixture
+def many_parts(spark):
+    """Parts as small as they get: no partition is put together with another."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    yield 13
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("seed,longest", [(1, 5), (2, 60), (3, 400), (4, 30), (5, 3)])
+def test_islands_and_gaps_equal_brute_force(spark, many_parts, seed, longest):
     pick = random.Random(seed)
     spans = []
     for job in ("a", "b", None):
@@ -39,9 +50,9 @@ def test_islands_and_gaps_equal_brute_force(spark, seed, longest, bucket):
         merged = brute([(s, e) for j, s, e in spans if j == job])
         want_islands += [(job, s, e, n) for s, e, n in merged]
         want_gaps += [(job, a[1], b[0]) for a, b in zip(merged, merged[1:])]
-    got = [tuple(r) for r in intervals.islands(df, "s", "e", ["job"], bucket).collect()]
+    got = [tuple(r) for r in intervals.islands(df, "s", "e", ["job"]).collect()]
     assert sorted(got, key=repr) == sorted(want_islands, key=repr)
-    got = [tuple(r) for r in intervals.gaps(df, "s", "e", ["job"], bucket).collect()]
+    got = [tuple(r) for r in intervals.gaps(df, "s", "e", ["job"]).collect()]
     assert sorted(got, key=repr) == sorted(want_gaps, key=repr)
 
 
@@ -66,6 +77,34 @@ def test_without_groups_and_null_bounds(spark):
     assert [(r.n, r.island_end - r.island_start) for r in got] == [(2, timedelta(hours=30))]
 
 
+def test_a_hot_group_is_spread_and_long_intervals_stay_one_row(spark, many_parts):
+    pick = random.Random(9)
+    spans = [("hot", ORIGIN + timedelta(minutes=10 * pick.randrange(5000)), 5) for _ in range(3000)]
+    spans += [("hot", ORIGIN + timedelta(days=10), 60 * 24 * 3650), ("cold", ORIGIN, 5)]
+    rows = [(j, s, s + timedelta(minutes=m)) for j, s, m in spans]
+    df = log(spark, rows)
+    local, _ = intervals._local_islands(df, "s", "e", ["job"], None)
+    hot = local.where("_g0 = 'hot'")
+    assert hot.select("part").distinct().count() >= many_parts - 2
+    assert local.count() <= len({r[:2] for r in rows})
+    want = brute([(s, e) for j, s, e in rows if j == "hot"])
+    got = sorted((r.island_start, r.island_end, r.n) for r in intervals.islands(df, "s", "e", ["job"]).where("job = 'hot'").collect())
+    assert got == want
+    # Ungrouped, and as gaps: more than one task works on them, none on all rows.
+    merged = brute([(s, e) for _, s, e in rows])
+    gaps = intervals.gaps(df, "s", "e")
+    assert sorted((r.gap_start, r.gap_end) for r in gaps.collect()) == [(a[1], b[0]) for a, b in zip(merged, merged[1:])]
+    local, _ = intervals._local_islands(df, "s", "e", [], None)
+    assert local.select("part").distinct().count() >= many_parts - 2
+
+
+def test_names_of_groups_may_be_those_used_inside(spark, many_parts):
+    df = spark.createDataFrame([("a", 1, 3, 2), ("a", 2, 4, 5), (None, 9, 9, 1)], "s string, part int, e int, n int")
+    got = intervals.islands(df, "part", "e", ["s"], counted="n").collect()
+    assert sorted(map(tuple, got), key=repr) == [("a", 1, 4, 7), (None, 9, 9, 1)]
+    assert intervals.gaps(df.where("false"), "part", "e", ["s"]).collect() == []
+
+
 def test_freshness(spark):
     rows = [
         ("a", ORIGIN, ORIGIN + timedelta(hours=2), "completed"),

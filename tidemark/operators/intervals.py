@@ -1,107 +1,91 @@
-"""Coverage of intervals: islands, gaps and freshness.
+"""Coverage of intervals: islands, gaps and freshness, by a sweep along the starts.
 
-Intervals are cut at bucket edges (a day, unless chosen otherwise) and merged inside each
-bucket. A bucket then has at most two islands that touch its edges, and only those have
-to be looked at across buckets. So no task ever holds a whole group, however many
-intervals it has, and a bucket that is covered many times is one row before the shuffle.
+Rows are range-partitioned by group and start, so a group with most of all rows is spread over
+many partitions like any other. Inside a partition a running maximum of the ends merges intervals
+into local islands, one pass over sorted rows. What a partition cannot know is how far the
+partitions before it reach: that is one maximum per group and partition, carried forward by a
+window over those maxima only. An interval is one row from beginning to end, however long it is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidemark.session import fresh_folder
 from tidemark.windows import TimeWindow, bound_literal
 
 
-def _pieces(df: DataFrame, start: str, end: str, by: Sequence[str], bucket: str, counted: str | None) -> DataFrame:
-    """by, b (bucket start), s, e, n: intervals cut at bucket edges, equal starts put together.
+def _local_islands(df: DataFrame, start: str, end: str, by: Sequence[str], counted: str | None) -> tuple[DataFrame, list[str]]:
+    """Groups (under internal names), part, s, e, n: what intervals cover by those of their own part.
 
-    An interval is counted in its first piece only.
+    Parts ascend with group and start. They depend on sampled bounds, so the islands are written
+    once and read from there. Rows with equal starts are put together before anything is sorted.
     """
-    step = F.expr(f"INTERVAL 1 {bucket.upper()}")
-
-    def edge(value):
-        return F.date_trunc(bucket, value).cast("timestamp_ntz")
-
+    groups = [f"_g{i}" for i in range(len(by))]
     # NULL ends and intervals that end before they start cover nothing; see `rejected`.
     rows = df.where(F.col(start) <= F.col(end)).select(
-        *by,
-        F.col(start).cast("timestamp_ntz").alias("s0"),
-        F.col(end).cast("timestamp_ntz").alias("e0"),
-        (F.col(counted) if counted else F.lit(1)).cast("bigint").alias("n0"),
-    )
-    cut = rows.select(*by, "s0", "e0", "n0", F.explode(F.sequence(edge("s0"), edge("e0"), step)).alias("b"))
-    return cut.groupBy(*by, "b", F.greatest("s0", "b").alias("s")).agg(
-        F.max(F.least("e0", F.col("b") + step)).alias("e"),
-        F.sum(F.when(F.col("s0") >= F.col("b"), F.col("n0")).otherwise(0)).alias("n"),
+        *[F.col(c).alias(g) for c, g in zip(by, groups)],
+        F.col(start).alias("s"),
+        F.col(end).alias("e"),
+        (F.col(counted) if counted else F.lit(1)).cast("bigint").alias("n"),
     )
-
-
-def _bucket_islands(df, start, end, by, bucket, counted) -> DataFrame:
-    """by, b, s, e, n: what the intervals cover inside each bucket."""
-    inside = Window.partitionBy(*by, "b").orderBy("s")
+    starts = rows.groupBy(*groups, "s").agg(F.max("e").alias("e"), F.sum("n").alias("n"))
+    parts = starts.repartitionByRange(*groups, "s").withColumn("part", F.spark_partition_id())
+    inside = Window.partitionBy(*groups, "part").orderBy("s")
     before = F.max("e").over(inside.rowsBetween(Window.unboundedPreceding, -1))
-    return (
-        _pieces(df, start, end, by, bucket, counted)
-        .withColumn("_opens", F.when(F.col("s") <= before, 0).otherwise(1))
+    local = (
+        parts.withColumn("_opens", F.when(F.col("s") <= before, 0).otherwise(1))
         .withColumn("_k", F.sum("_opens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(*by, "b", "_k")
+        .groupBy(*groups, "part", "_k")
         .agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("n").alias("n"))
         .drop("_k")
     )
+    spark = df.sparkSession
+    folder = fresh_folder(spark, "intervals")
+    local.write.parquet(folder)
+    return spark.read.schema(local.schema).parquet(folder), groups
+
+
+def _carried(rows: DataFrame, groups: list[str], value: str, name: str) -> DataFrame:
+    """`rows` with `name`: the greatest `value` of the group in the parts before."""
+    along = Window.partitionBy(*groups).orderBy("part") if groups else Window.orderBy("part")
+    least = F.max("_v").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    # One row per group and part: the window over a group has no more rows than there are parts.
+    parts = rows.groupBy(*groups, "part").agg(F.max(value).alias("_v")).select(
+        *[F.col(g).alias(f"_{g}") for g in groups], F.col("part").alias("_part"), least.alias(name)
+    )
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups]
+    met = reduce(lambda a, b: a & b, same, F.col("part") == F.col("_part"))
+    return rows.join(parts, met, "left").select(*rows.columns, name)
 
 
-def islands(
-    df: DataFrame,
-    start: str,
-    end: str,
-    by: Sequence[str] = (),
-    bucket: str = "day",
-    counted: str | None = None,
-) -> DataFrame:
+def islands(df: DataFrame, start: str, end: str, by: Sequence[str] = (), counted: str | None = None) -> DataFrame:
     """Merged intervals per group: by, island_start, island_end, n. Intervals that touch are one."""
-    by = list(by)
-    kind = df.schema[start].dataType.simpleString()
-    step = F.expr(f"INTERVAL 1 {bucket.upper()}")
-    local = _bucket_islands(df, start, end, by, bucket, counted)
-    touches = (F.col("s") == F.col("b")) | (F.col("e") == F.col("b") + step)
-    # Islands inside a bucket are groups of their own; the others of a group share NULL.
-    spread = local.withColumn("_own", F.when(~touches, F.col("s")))
-    along = Window.partitionBy(*by, "_own").orderBy("s", "b")
-    joins = F.coalesce((F.col("s") == F.col("b")) & (F.lag("e").over(along) == F.col("s")), F.lit(False))
-    return (
-        spread.withColumn("_opens", F.when(joins, 0).otherwise(1))
-        .withColumn("_k", F.sum("_opens").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(*by, "_own", "_k")
-        .agg(F.min("s").alias("island_start"), F.max("e").alias("island_end"), F.sum("n").alias("n"))
-        .select(*by, F.col("island_start").cast(kind), F.col("island_end").cast(kind), "n")
-    )
+    local, groups = _local_islands(df, start, end, by, counted)
+    # Beyond the reach of the parts before, a local island is the start of one; within it, it belongs to the last that started.
+    reached = _carried(local, groups, "e", "_reach")
+    opened = reached.withColumn("_own", F.when(F.col("_reach").isNull() | (F.col("s") > F.col("_reach")), F.col("s")))
+    known = _carried(opened, groups, "_own", "_last")
+    merged = known.groupBy(*groups, F.coalesce("_own", "_last").alias("island_start")).agg(F.max("e").alias("island_end"), F.sum("n").alias("n"))
+    return merged.select(*[F.col(g).alias(c) for g, c in zip(groups, by)], "island_start", "island_end", "n")
 
 
-def gaps(df: DataFrame, start: str, end: str, by: Sequence[str] = (), bucket: str = "day") -> DataFrame:
+def gaps(df: DataFrame, start: str, end: str, by: Sequence[str] = ()) -> DataFrame:
     """What lies between the islands of each group: by, gap_start, gap_end.
 
-    Gaps inside a bucket need that bucket only; for those between buckets there is one
-    row per group and bucket.
+    A gap ends where a local island starts beyond all that was covered before it, which its part
+    and the carried maximum tell.
     """
-    by = list(by)
-    kind = df.schema[start].dataType.simpleString()
-    local = _bucket_islands(df, start, end, by, bucket, None)
-    inside = Window.partitionBy(*by, "b").orderBy("s")
-    within = local.withColumn("gap_start", F.lag("e").over(inside)).select(*by, "gap_start", F.col("s").alias("gap_end"))
-    across = Window.partitionBy(*by).orderBy("b") if by else Window.orderBy("b")
-    between = (
-        local.groupBy(*by, "b")
-        .agg(F.min("s").alias("gap_end"), F.max("e").alias("_last"))
-        .withColumn("gap_start", F.lag("_last").over(across))
-        .select(*by, "gap_start", "gap_end")
-    )
+    local, groups = _local_islands(df, start, end, by, None)
+    reached = _carried(local, groups, "e", "_reach")
+    before = F.lag("e").over(Window.partitionBy(*groups, "part").orderBy("s"))
     return (
-        within.unionByName(between)
-        .where(F.col("gap_start") < F.col("gap_end"))
-        .select(*by, F.col("gap_start").cast(kind), F.col("gap_end").cast(kind))
+        reached.withColumn("gap_start", F.greatest("_reach", before))
+        .where(F.col("gap_start") < F.col("s"))
+        .select(*[F.col(g).alias(c) for g, c in zip(groups, by)], "gap_start", F.col("s").alias("gap_end"))
     )
 
 
@@ -120,7 +104,6 @@ def freshness(
     job: str = "job",
     start: str = "interval_start",
     end: str = "interval_end",
-    bucket: str = "day",
 ) -> DataFrame:
     """Per upstream job: how far its completed runs cover `needed` without a hole, and whether wholly.
 
@@ -129,7 +112,7 @@ def freshness(
     """
     kind = run_log.schema[end].dataType
     low, high = bound_literal(needed.start, kind), bound_literal(needed.end, kind)
-    stretches = islands(completed(run_log), start, end, [job], bucket)
+    stretches = islands(completed(run_log), start, end, [job])
     first = stretches.where((F.col("island_start") <= low) & (F.col("island_end") >= low))
     reached = first.groupBy(job).agg(F.max("island_end").alias("covered_to"))
     jobs = run_log.select(job).distinct()
