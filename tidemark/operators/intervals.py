@@ -49,27 +49,30 @@ def _local_islands(df: DataFrame, start: str, end: str, by: Sequence[str], count
     return spark.read.schema(local.schema).parquet(folder), groups
 
 
-def _carried(rows: DataFrame, groups: list[str], value: str, name: str) -> DataFrame:
-    """`rows` with `name`: the greatest `value` of the group in the parts before."""
-    along = Window.partitionBy(*groups).orderBy("part") if groups else Window.orderBy("part")
-    least = F.max("_v").over(along.rowsBetween(Window.unboundedPreceding, -1))
-    # One row per group and part: the window over a group has no more rows than there are parts.
-    parts = rows.groupBy(*groups, "part").agg(F.max(value).alias("_v")).select(
-        *[F.col(g).alias(f"_{g}") for g in groups], F.col("part").alias("_part"), least.alias(name)
-    )
+def _reached(local: DataFrame, groups: list[str]) -> DataFrame:
+    """`local` with `_reach`, the greatest end of the group in the parts before, and `_last`, the last island that started there.
+
+    The last local island of a part starts an island if anything in the part does. So two
+    values per group and part are enough, and the window over a group has a row per part.
+    """
+    named = [F.col(g).alias(f"_{g}") for g in groups]
+    parts = local.groupBy(*named, F.col("part").alias("_part")).agg(F.max("e").alias("_top"), F.max("s").alias("_start"))
+    along = Window.partitionBy(*[f"_{g}" for g in groups]).orderBy("_part")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_reach", F.max("_top").over(earlier))
+    opened = F.when(F.col("_reach").isNull() | (F.col("_start") > F.col("_reach")), F.col("_start"))
+    parts = parts.withColumn("_opened", opened).withColumn("_last", F.max("_opened").over(earlier))
     same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups]
     met = reduce(lambda a, b: a & b, same, F.col("part") == F.col("_part"))
-    return rows.join(parts, met, "left").select(*rows.columns, name)
+    return local.join(parts, met, "left").select(*local.columns, "_reach", "_last")
 
 
 def islands(df: DataFrame, start: str, end: str, by: Sequence[str] = (), counted: str | None = None) -> DataFrame:
     """Merged intervals per group: by, island_start, island_end, n. Intervals that touch are one."""
     local, groups = _local_islands(df, start, end, by, counted)
-    # Beyond the reach of the parts before, a local island is the start of one; within it, it belongs to the last that started.
-    reached = _carried(local, groups, "e", "_reach")
-    opened = reached.withColumn("_own", F.when(F.col("_reach").isNull() | (F.col("s") > F.col("_reach")), F.col("s")))
-    known = _carried(opened, groups, "_own", "_last")
-    merged = known.groupBy(*groups, F.coalesce("_own", "_last").alias("island_start")).agg(F.max("e").alias("island_end"), F.sum("n").alias("n"))
+    # Within the reach of the parts before, a local island belongs to the last that started there.
+    first = F.when(F.col("s") <= F.col("_reach"), F.col("_last")).otherwise(F.col("s"))
+    merged = _reached(local, groups).groupBy(*groups, first.alias("island_start")).agg(F.max("e").alias("island_end"), F.sum("n").alias("n"))
     return merged.select(*[F.col(g).alias(c) for g, c in zip(groups, by)], "island_start", "island_end", "n")
 
 
@@ -80,7 +83,7 @@ def gaps(df: DataFrame, start: str, end: str, by: Sequence[str] = ()) -> DataFra
     and the carried maximum tell.
     """
     local, groups = _local_islands(df, start, end, by, None)
-    reached = _carried(local, groups, "e", "_reach")
+    reached = _reached(local, groups)
     before = F.lag("e").over(Window.partitionBy(*groups, "part").orderBy("s"))
     return (
         reached.withColumn("gap_start", F.greatest("_reach", before))
