@@ -9,7 +9,7 @@ write to a new folder under the session's shared folder and read the result back
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,7 +18,7 @@ from tidemark.functions import (
     local_day_end,
     local_day_start,
 )
-from tidemark.operators import curation, intervals, normalize, quality, vectors
+from tidemark.operators import curation, intervals, normalize, quality, rollup, vectors
 from tidemark.operators.quality import checks, metrics
 from tidemark.operators.vector_index import VectorIndex
 from tidemark.plans import Pipeline, Resource, Source, commits, paged_resource, quakes, shop, transformation, videos
@@ -809,6 +809,35 @@ def replayed_windows(spark, sf_dir):
     return run.dataset()["earthquake_daily_stats"].select("day", "region", "event_count")
 
 
+_ROLLED_SQL = """count(*) AS event_count, round(avg(value), 6) AS avg_magnitude, max(value) AS max_magnitude, min(value) AS min_magnitude,
+ round(avg(CAST(json_extract(props, '$.k') AS BIGINT)), 6) AS avg_depth_km, 1 AS places FROM events"""
+
+
+@query(
+    f"""SELECT 'month' AS level, date_trunc('month', ts)::DATE AS month, event_type AS region, {_ROLLED_SQL} GROUP BY date_trunc('month', ts), event_type
+ UNION ALL SELECT 'region', NULL, event_type, {_ROLLED_SQL} GROUP BY event_type"""
+)
+def means_rolled_up(spark, sf_dir):
+    """Days to months to regions from stored states, after a late arrival, its replay and a replay for nothing."""
+    run = pipeline(spark, "states")
+    late = "time >= '2024-01-10' AND time < '2024-01-12' AND id % 3 = 0"
+    ingest = Resource("earthquakes", lambda s: earthquakes(s, sf_dir).where(f"NOT ({late})"), "merge", "id", partition_by=("time", "day"))
+    run.run(ingest, load_id="early")
+    run.run(quakes.earthquake_daily_states(run.dataset()), load_id="all")
+    run.run(ingest.with_rows(earthquakes(spark, sf_dir).where(late)), load_id="late")
+    for number, span in enumerate([("2024-01-10T06:00:00", "2024-01-11T02:00:00"), ("2024-01-20", "2024-01-21")]):
+        run.run(quakes.earthquake_daily_states(run.dataset(), TimeWindow(*span)), load_id=f"replay {number}")
+    daily = run.dataset()["earthquake_daily_states"]
+    month = F.date_trunc("month", "day").cast("date").alias("month")
+    by_month = rollup.rolled(daily, [month, "region"], quakes.QUAKE_MEASURES)
+    # The coarser level is made of the finer one, not of the days.
+    by_region = rollup.rolled(by_month, ["region"], quakes.QUAKE_MEASURES).withColumn("month", F.lit(None).cast("date"))
+    parts = [rollup.finished(x, quakes.QUAKE_MEASURES).withColumn("level", F.lit(n)) for x, n in ((by_month, "month"), (by_region, "region"))]
+    found = parts[0].unionByName(parts[1])
+    rounded = {c: F.round(c, 6) for c in ("avg_magnitude", "avg_depth_km")}
+    return found.withColumns({**rounded, "places": F.col("places").cast("int")})
+
+
 @query(
     """SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts <= TIMESTAMP '2024-01-20'"""
 )
@@ -1263,6 +1292,32 @@ def one_metric(spark, sf_dir):
     return quality.read_metric(run.dataset(), "labels", "unique_count", "quality").select("value")
 
 
+@query(
+    """SELECT date_trunc('month', ts)::TIMESTAMP AS month, count(DISTINCT user_id) AS unique_authors, true AS within_three_percent
+ FROM events GROUP BY date_trunc('month', ts)
+ UNION ALL SELECT NULL, count(DISTINCT user_id), true FROM events WHERE ts >= TIMESTAMP '2024-01-04' AND ts < TIMESTAMP '2024-01-18'"""
+)
+def authors_from_sketches(spark, sf_dir):
+    """Unique authors of each month and of a fortnight, from daily sketches of three loads, against exact counts."""
+    run = pipeline(spark, "sketches")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    for number in range(3):
+        part = Resource("events", lambda s, n=number: events.where(F.col("event_id") % 3 == n), "append")
+        run.run(part.with_metrics(metrics.column.distinct_sketch("user_id", "ts")), load_id=str(number))
+        quality.run_metrics(run, str(number))
+    data = run.dataset()
+    month = F.date_trunc("month", "ts").cast("timestamp_ntz").alias("month")
+    first, last = datetime(2024, 1, 4), datetime(2024, 1, 17)
+    within = (F.col("ts") >= F.lit(first)) & (F.col("ts") < F.lit(last + timedelta(days=1)))
+    counted = F.count_distinct("user_id").alias("unique_authors")
+    exact = events.groupBy(month).agg(counted).unionByName(events.where(within).agg(counted), allowMissingColumns=True)
+    monthly = quality.distinct_between(data, "events", "user_id", by="month")
+    estimates = monthly.unionByName(quality.distinct_between(data, "events", "user_id", first, last), allowMissingColumns=True)
+    both = exact.unionByName(estimates, allowMissingColumns=True).groupBy("month").agg(*[F.max(c).alias(c) for c in ("unique_authors", "estimate")])
+    near = F.abs(F.col("estimate") - F.col("unique_authors")) <= 0.03 * F.col("unique_authors")
+    return both.select("month", "unique_authors", near.alias("within_three_percent"))
+
+
 # ---- curation and vectors -----------------------------------------------------
 
 MEASURES = {"avg_chars": "n_chars", "avg_quality": "quality"}

@@ -16,6 +16,8 @@ from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidemark.operators.rollup import sketch
+
 # ---- checks -----------------------------------------------------------------
 
 
@@ -293,9 +295,10 @@ class Metric:
     metric: str
     column: str | None = None
     approximate: bool = False
+    per: Sequence[str] | None = None
 
     def as_row(self) -> list:
-        return [self.level, self.metric, self.column, self.approximate]
+        return [self.level, self.metric, self.column, self.approximate, self.per and list(self.per)]
 
     def value(self) -> Column:
         rows = F.count(F.lit(1))
@@ -317,6 +320,10 @@ class Metric:
         raise ValueError(f"metric: {self.metric}")
 
 
+SKETCH = "distinct_sketch"
+"""A mergeable distinct count, see `run_metrics` and `distinct_between`."""
+
+
 def _column_metric(name: str):
     return lambda column: Metric("column", name, column)
 
@@ -326,6 +333,7 @@ metrics = SimpleNamespace(
         null_count=_column_metric("null_count"),
         null_rate=_column_metric("null_rate"),
         unique_count=lambda column, approximate=False: Metric("column", "unique_count", column, approximate),
+        distinct_sketch=lambda column, time=None, unit="day": Metric("column", SKETCH, column, True, (time, unit) if time else None),
         mean=_column_metric("mean"),
         maximum=_column_metric("maximum"),
         minimum=_column_metric("minimum"),
@@ -344,13 +352,16 @@ def with_metrics(resource, *items: Metric):
 
 def compute_metrics(df: DataFrame, items: Sequence[Metric], table_name: str = "") -> DataFrame:
     """One row per metric: a number in `value`, or, for the greatest and smallest value of a
-    column that holds no numbers, its text in `text_value`. One aggregate for all of them, but several exact distinct
-    counts are taken apart: together they would multiply the rows before the shuffle."""
-    exact = [m for m in items if m.metric == "unique_count" and not m.approximate]
-    apart = exact if len(exact) > 1 else []
-    together = [m for m in items if m not in apart]
+    column that holds no numbers, its text in `text_value`. One aggregate for all of them; several exact distinct
+    counts are taken from one more scan as pairs of column and value, which are made distinct before they are shuffled."""
+    exact = [m for m in items if m.metric == "unique_count" and not m.approximate and isinstance(df.schema[m.column].dataType, T.AtomicType)]
+    paired = exact if len(exact) > 1 else []
+    apart = [m for m in items if m.metric == "unique_count" and not m.approximate and m not in exact]
+    if len(apart) + bool(exact) == 1:
+        apart = []
+    together = [m for m in items if m not in paired and m not in apart and m.metric != SKETCH]
     groups = ([together] if together else []) + [[m] for m in apart]
-    parts = []
+    parts = [_distinct_counts(df, paired, table_name)] if paired else []
     for group in groups:
         words = [m.metric in ("maximum", "minimum") and not isinstance(df.schema[m.column].dataType, T.NumericType) for m in group]
         kinds = ["string" if text else "double" for text in words]
@@ -370,23 +381,66 @@ def compute_metrics(df: DataFrame, items: Sequence[Metric], table_name: str = ""
     return reduce(DataFrame.unionByName, parts)
 
 
+def _distinct_counts(df: DataFrame, items: Sequence[Metric], table_name: str) -> DataFrame:
+    """Exact distinct counts of several columns: one scan, one shuffle of (column, value) pairs.
+
+    A task sends each pair once, so the rows are multiplied before the first aggregate only.
+    Values travel as text, which tells all values of a plain type apart; -0.0 is 0.0.
+    """
+
+    def text(name: str) -> Column:
+        kind, x = df.schema[name].dataType, F.col(name)
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            return F.when(x == 0, F.lit(0.0).cast(kind)).otherwise(x).cast("string")
+        return F.hex(x) if isinstance(kind, T.BinaryType) else x.cast("string")
+
+    numbered = [F.struct(F.lit(i).alias("i"), text(m.column).alias("v")) for i, m in enumerate(items)]
+    pairs = df.select(F.explode(F.array(*numbered)).alias("p")).select("p.i", "p.v").distinct()
+    counts = pairs.agg(*[F.count_if((F.col("i") == i) & F.col("v").isNotNull()).cast("double").alias(f"m{i}") for i in range(len(items))])
+    rows = [
+        F.struct(
+            F.lit(m.level).alias("level"),
+            F.lit(table_name).alias("table_name"),
+            F.lit(m.column).alias("column_name"),
+            F.lit(m.metric).alias("metric"),
+            F.col(f"m{i}").alias("value"),
+            F.lit(None).cast("string").alias("text_value"),
+        )
+        for i, m in enumerate(items)
+    ]
+    return counts.select(F.explode(F.array(*rows)).alias("_m")).select("_m.*")
+
+
 METRICS_TABLE = "_dq_metrics"
+SKETCHES_TABLE = "_dq_sketches"
 
 
 def run_metrics(pipeline, run_id: str | None = None, extra: Sequence[Metric] = ()) -> DataFrame:
     """Compute the metrics the dataset's tables carry and append them to the history.
 
-    `extra` may hold dataset-level metrics. Returns the rows of this run.
+    `extra` may hold dataset-level metrics. Returns the rows of this run. Distinct sketches go to a
+    table of their own, one per period, and are taken from the rows of the last load alone:
+    those of earlier loads are there already, and any span of them can be put together.
     """
     from tidemark.plans.dataset import StoredTable
 
     dataset = pipeline.dataset()
     run_id = run_id or f"{time.time():.6f}"
-    parts = []
+    load_id = pipeline.last_load.load_id if pipeline.last_load else None
+
+    def append(table: str, rows: DataFrame) -> DataFrame:
+        stamped = rows.select(F.lit(run_id).alias("run_id"), F.lit(load_id).cast("string").alias("load_id"), F.current_timestamp().alias("computed_at"), "*")
+        history = StoredTable(dataset.spark, dataset.root, table)
+        history.describe(stamped, key=[], source=None, resource=table, dropped=False)
+        history.swap(history.append(stamped, run_id))
+        return dataset.table(table).where(F.col("run_id") == run_id)
+
+    parts, sketches = [], []
     for name in dataset.tables:
-        rows = dataset.stored(name).info.get("metrics") or []
-        if rows:
-            parts.append(compute_metrics(dataset.table(name), [Metric(*r) for r in rows], name))
+        items = [Metric(*r) for r in dataset.stored(name).info.get("metrics") or []]
+        sketches += [_sketches(dataset.table(name), m, name, load_id) for m in items if m.metric == SKETCH]
+        if any(m.metric != SKETCH for m in items):
+            parts.append(compute_metrics(dataset.table(name), items, name))
     if any(m.level == "dataset" for m in extra):
         total = dataset.row_counts().agg(F.sum("row_count").cast("double").alias("value"))
         parts.append(
@@ -399,19 +453,38 @@ def run_metrics(pipeline, run_id: str | None = None, extra: Sequence[Metric] = (
                 F.lit(None).cast("string").alias("text_value"),
             )
         )
-    if not parts:
+    if not parts and not sketches:
         raise ValueError("no table of this dataset carries metrics")
-    load_id = pipeline.last_load.load_id if pipeline.last_load else None
-    found = reduce(DataFrame.unionByName, parts).select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(load_id).cast("string").alias("load_id"),
-        F.current_timestamp().alias("computed_at"),
-        *METRIC_COLUMNS,
-    )
-    history = StoredTable(dataset.spark, dataset.root, METRICS_TABLE)
-    history.describe(found, key=[], source=None, resource=METRICS_TABLE, dropped=False)
-    history.swap(history.append(found, run_id))
-    return dataset.table(METRICS_TABLE).where(F.col("run_id") == run_id)
+    if sketches:
+        found = append(SKETCHES_TABLE, reduce(DataFrame.unionByName, sketches))
+    return append(METRICS_TABLE, reduce(DataFrame.unionByName, parts).select(*METRIC_COLUMNS)) if parts else found
+
+
+def _sketches(rows: DataFrame, metric: Metric, table_name: str, load_id: str | None) -> DataFrame:
+    """table_name, column_name, period, state: the sketch of each period of the rows of a load."""
+    if load_id is not None and "_load_id" in rows.columns:
+        rows = rows.where(F.col("_load_id") == load_id)
+    period = F.date_trunc(metric.per[1], F.col(metric.per[0])).cast("timestamp_ntz") if metric.per else F.lit(None).cast("timestamp_ntz")
+    made = rows.groupBy(period.alias("period")).agg(sketch(metric.column).alias("state"))
+    return made.select(F.lit(table_name).alias("table_name"), F.lit(metric.column).alias("column_name"), "period", "state")
+
+
+def distinct_between(
+    dataset, table: str, column: str, first=None, last=None, by: str | None = None, load_ids: Sequence[str] | None = None
+) -> DataFrame:
+    """Distinct values of a column over any span of stored periods, from sketches: (`by`,) estimate.
+
+    `first` and `last` are included; `by` is a unit (`month`) for one row each. A sketch that was
+    stored twice counts once. Values that a later load took away stay counted; for a table
+    that loads replace, name the load to look at.
+    """
+    rows = dataset.table(SKETCHES_TABLE).where((F.col("table_name") == table) & (F.col("column_name") == column))
+    for bound, keep in ((first, F.col("period") >= F.lit(first)), (last, F.col("period") <= F.lit(last))):
+        rows = rows if bound is None else rows.where(keep)
+    if load_ids is not None:
+        rows = rows.where(F.col("load_id").isin(list(load_ids)))
+    groups = [F.date_trunc(by, "period").cast("timestamp_ntz").alias(by)] if by else []
+    return rows.groupBy(*groups).agg(F.hll_sketch_estimate(F.hll_union_agg("state")).alias("estimate"))
 
 
 def read_metric(dataset, table: str | None, metric: str, column: str | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import SEVERITY_ORDER, floor_bin, last_token, position_in, remerged, severity
 from tidemark.operators.reports import group_counts, totals
+from tidemark.operators.rollup import finished, measures, rolled, states
 from tidemark.plans.dataset import rows_between
 from tidemark.plans.resources import Resource, source, transformation
 from tidemark.sources.features import bounded_events, feature_files
@@ -39,6 +40,17 @@ def place_region(place: Column | str) -> Column:
     return last_token(place, ", ", "Unknown")
 
 
+def _placed(dataset, window: TimeWindow | None, align: str) -> DataFrame:
+    """Earthquakes of a window with day and region."""
+    if align not in ("group", "none"):
+        raise ValueError(f"align: {align}")
+    if window is None:
+        quakes = dataset["earthquakes"]
+    else:
+        quakes = rows_between(dataset, "earthquakes", "time", window.whole_days() if align == "group" else window)
+    return quakes.withColumns({"day": F.col("time").cast("date"), "region": place_region("place")})
+
+
 @transformation(write_disposition="merge", primary_key=["day", "region"], partition_by="day", unique_batch=True)
 def earthquake_daily_stats(dataset, window: TimeWindow | None = None, align: str = "group") -> DataFrame:
     """Events, magnitudes and depth per UTC day and region.
@@ -47,15 +59,9 @@ def earthquake_daily_stats(dataset, window: TimeWindow | None = None, align: str
     replace that day's row by a partial one. `align="group"` widens the window to whole
     days first; `align="none"` takes it as it is.
     """
-    if align not in ("group", "none"):
-        raise ValueError(f"align: {align}")
-    if window is None:
-        quakes = dataset["earthquakes"]
-    else:
-        quakes = rows_between(dataset, "earthquakes", "time", window.whole_days() if align == "group" else window)
+    quakes = _placed(dataset, window, align)
     return (
-        quakes.withColumns({"day": F.col("time").cast("date"), "region": place_region("place")})
-        .groupBy("day", "region")
+        quakes.groupBy("day", "region")
         .agg(
             F.count(F.lit(1)).alias("event_count"),
             F.avg("magnitude").alias("avg_magnitude"),
@@ -66,6 +72,28 @@ def earthquake_daily_stats(dataset, window: TimeWindow | None = None, align: str
     )
 
 
+QUAKE_MEASURES = (
+    measures.rows("event_count"),
+    measures.mean("avg_magnitude", "magnitude"),
+    measures.greatest("max_magnitude", "magnitude"),
+    measures.least("min_magnitude", "magnitude"),
+    measures.mean("avg_depth_km", "depth"),
+    measures.distinct("places", "place"),
+)
+
+
+@transformation(write_disposition="merge", primary_key=["day", "region"], partition_by="day", unique_batch=True)
+def earthquake_daily_states(dataset, window: TimeWindow | None = None, align: str = "group") -> DataFrame:
+    """What `earthquake_daily_stats` holds, as states that roll up to longer times and to regions."""
+    quakes = _placed(dataset, window, align)
+    return states(quakes.withColumn("depth", remerged(quakes, "depth_km")), ["day", "region"], QUAKE_MEASURES)
+
+
+def quakes_by(stored: DataFrame, *by: str | Column) -> DataFrame:
+    """Values of `QUAKE_MEASURES` for any coarser groups of stored daily states."""
+    return finished(rolled(stored, by, QUAKE_MEASURES), QUAKE_MEASURES)
+
+
 @transformation(primary_key="id")
 def feeds_summary_classified(dataset) -> DataFrame:
     """The snapshot feed with severity and region."""
