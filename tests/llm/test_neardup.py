@@ -1,4 +1,6 @@
 import random
+import subprocess
+import sys
 
 import numpy as np
 
@@ -6,7 +8,8 @@ from tests.llm.helpers import ODD, frame
 from tidemark.llm import neardup, superminhash
 from tidemark.llm.common import Scratch
 from tidemark.llm.graph import components
-from tidemark.llm.shingles import shingles
+from tidemark.llm import shingles as shingles_module
+from tidemark.llm.shingles import shingles, word_numbers
 
 
 def brute(rows, k, threshold=80):
@@ -98,3 +101,47 @@ def test_components(spark):
     found = {r["v"]: r["root"] for r in components(Scratch(spark, "t"), df).collect()}
     expected = {**{i: 5 for i in [5, *range(50, 91)]}, 1: 1, 2: 1, 7: 7, 8: 7, 9: 7, 200: 200, **{300 + i: 200 for i in range(40)}}
     assert found == expected
+
+
+def thue_morse(n, a, b):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+def test_words_that_collide_modulo_two_to_the_64_stay_apart(spark):
+    one, other = (thue_morse(2048, *x) for x in ("ab", "ba"))
+    rows = [(1, f"{one} x"), (2, f"{other} x"), (3, f"{one} x")]
+    assert found(frame(spark, rows), 2) == [(1, 1, 1), (2, 1, 2), (3, 1, 1)]
+    numbers, _ = word_numbers([thue_morse(n, *x).encode() for n in (1024, 2048, 4096, 8192) for x in ("ab", "ba", "xq", "qx")])
+    assert len(set(numbers.tolist())) == 16
+
+
+def test_pieces_change_no_number(monkeypatch):
+    r = random.Random(11)
+    texts = [" ".join("".join(r.choice("abABé日") for _ in range(r.choice([1, 2, 9, 29, 30, 31, 32, 33, 80]))) for _ in range(40)).encode() for _ in range(30)]
+    texts += [b"", b" \t ", b"x" * 31, b"x" * 32, b"x" * 200, b"\n" * 100 + b"y"]
+    words = [w for t in texts for w in t.lower().split()]
+    whole, owners = word_numbers(texts)
+    assert np.bincount(owners, minlength=len(texts)).tolist() == [len(t.split()) for t in texts]
+    assert len(set(zip(words, whole.tolist()))) == len(set(words)) == len(set(whole.tolist()))
+    monkeypatch.setattr(shingles_module, "PIECE", 32)
+    shingles_module._tables.clear()
+    small, owners = word_numbers(texts)
+    shingles_module._tables.clear()
+    assert np.bincount(owners, minlength=len(texts)).tolist() == [len(t.split()) for t in texts]
+    # Words shorter than a piece have the number they had; longer ones have one of their own.
+    for word, a, b in zip(words, whole.tolist(), small.tolist()):
+        assert a == b or len(word) >= 32
+    assert len(set(zip(words, small.tolist()))) == len(set(words)) == len(set(small.tolist()))
+
+
+def test_a_text_of_twenty_megabytes_takes_bounded_memory():
+    code = (
+        "import resource, numpy as np\n"
+        "from tidemark.llm.shingles import shingles\n"
+        "text = b' '.join(b'%07d' % (i * 7919 % 999983) for i in range(2500000))\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "numbers, _ = shingles([text], 5)\n"
+        "print(len(text), len(numbers), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)\n"
+    )
+    size, n, grown = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split())
+    assert size > 19_000_000 and n == 999_983 and grown < 450

@@ -28,7 +28,7 @@ from tidemark.llm.graph import components
 from tidemark.llm.shingles import mix, shingles
 
 BANDS, ROWS = 40, 5
-TEXTS_AT_ONCE = 4 << 20
+TEXTS_AT_ONCE = 1 << 20
 """Bytes of text that are turned into arrays together; a longer text is taken alone."""
 
 BROADCAST_IDS = 2_000_000

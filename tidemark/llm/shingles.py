@@ -1,12 +1,21 @@
 """Word shingles of whole texts as 64-bit numbers, for many texts at once.
 
 Words are what lies between ASCII white space after A-Z are lower-cased. A word's number
-comes from a polynomial over its bytes, taken from one running sum over all texts, and a
-shingle's number from those of its words. All of it is array arithmetic.
+comes from two polynomials over its bytes modulo a prime, taken from running sums over a piece
+of text, and a shingle's number from those of its words. All of it is array arithmetic. Texts
+are taken in pieces of words, so that of a long text only the numbers are held as a whole.
+
+Sums modulo 2**64 (`running`, `powers`) are cheaper, but there are words of a thousand bytes
+that collide in them by their form, whatever the base. They are for ranges that are compared
+byte by byte afterwards.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+
 import numpy as np
 
 _U = np.uint64
@@ -36,27 +45,99 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 def running(data: np.ndarray) -> np.ndarray:
-    """Running sums such that any range's number is a difference times a power; see `ranges`."""
+    """Running sums such that any range's number is a difference times a power."""
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * powers(_INVERSE, len(data)), out=sums[1:])
     return sums
 
 
-def ranges(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A number for the bytes of each range, the same wherever they stand."""
-    return mix((sums[end] - sums[start]) * powers(BASE, len(sums))[start] + (end - start).astype(np.uint64))
+PIECE = 1 << 18
+"""Bytes of text that are numbered together. A word of as many bytes is numbered by a digest."""
+
+_PRIME = _U((1 << 31) - 1)
+_BASES = (1_103_515_247, 826_366_249)
+_VALUES = np.random.default_rng(21).integers(1, (1 << 31) - 1, 256, dtype=np.uint64)
+_tables: list[tuple[np.ndarray, np.ndarray]] = []
+_WHITE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Congruent modulo the prime 2**31 - 1, and much smaller."""
+    return (x & _PRIME) + (x >> _U(31))
+
+
+def _powers() -> list[tuple[np.ndarray, np.ndarray]]:
+    """For both bases, the powers of its inverse and its own, for the places of a piece."""
+    if not _tables:
+        prime = int(_PRIME)
+        for base in _BASES:
+            pair = []
+            for factor in (pow(base, -1, prime), base):
+                known = np.ones(1, np.uint64)
+                while len(known) < PIECE + 2:
+                    known = np.concatenate([known, known * _U(pow(factor, len(known), prime)) % _PRIME])
+                pair.append(known[: PIECE + 2])
+            _tables.append(tuple(pair))
+    return _tables
+
+
+def _numbered(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number for the bytes of each range, the same wherever they stand; at most a piece of data."""
+    values, residues = _VALUES[data], []
+    for inverse, own in _powers():
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_folded(values * inverse[: len(data)]), out=sums[1:])
+        residues.append(_folded(_folded(sums[end] - sums[start])) * own[start] % _PRIME)
+    return mix((residues[0] << _U(32)) ^ residues[1] ^ ((end - start).astype(np.uint64) << _U(45)))
+
+
+def pieces(text: bytes, most: int) -> Iterator[bytes]:
+    """A text cut at white space into pieces of at most `most` bytes; a longer word is a piece of its own."""
+    start = 0
+    while len(text) - start > most:
+        cut = max(text.rfind(c, start, start + most) for c in b" \t\n\v\f\r")
+        if cut < start:
+            found = _WHITE.search(text, start + most)
+            cut = found.start() if found else len(text)
+        else:
+            cut += 1
+        yield text[start:cut]
+        start = cut
+    if start < len(text):
+        yield text[start:]
 
 
 def word_numbers(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of all words in order, and of which text each one is."""
-    joined = b" ".join(texts).lower() + b" "
-    data = np.frombuffer(joined, np.uint8)
-    gap = _SPACE[data]
-    edge = np.flatnonzero(np.diff(gap, prepend=True))
-    start, end = edge[0::2], edge[1::2]
-    places = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    owner = np.searchsorted(places, start, "right") - 1
-    return ranges(running(data), start, end), owner
+    numbers, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+
+    def number(parts: list[bytes], whose: list[int]) -> None:
+        joined = b" ".join(parts).lower() + b" "
+        data = np.frombuffer(joined, np.uint8)
+        edge = np.flatnonzero(np.diff(_SPACE[data], prepend=True))
+        start, end = edge[0::2], edge[1::2]
+        long = np.flatnonzero(end - start >= PIECE)
+        if len(long):
+            # Such a word stands alone in its piece.
+            found = [int.from_bytes(hashlib.blake2b(joined[start[i] : end[i]], digest_size=8).digest(), "little") for i in long]
+            numbers.append(np.array(found, np.uint64))
+        else:
+            numbers.append(_numbered(data, start, end))
+        places = np.cumsum([0, *(len(p) + 1 for p in parts)])
+        owners.append(np.array(whose, np.int64)[np.searchsorted(places, start, "right") - 1])
+
+    waiting, whose, size = [], [], 0
+    for i, text in enumerate(texts):
+        for piece in pieces(text, PIECE - 1):
+            if size + len(piece) >= PIECE and waiting:
+                number(waiting, whose)
+                waiting, whose, size = [], [], 0
+            waiting.append(piece)
+            whose.append(i)
+            size += len(piece) + 1
+    if waiting:
+        number(waiting, whose)
+    return np.concatenate(numbers), np.concatenate(owners)
 
 
 def shingles(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
