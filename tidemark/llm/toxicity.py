@@ -59,7 +59,7 @@ def features_in(text: str) -> set[str]:
 class Lookup:
     """From a word to the numbers of its features in a model; remembers the words it has seen."""
 
-    def __init__(self, index: dict[str, int], remembered: int = 500_000) -> None:
+    def __init__(self, index: dict[str, int], remembered: int = 50_000) -> None:
         self.index, self.seen, self.remembered = index, {}, remembered
 
     def bag(self, text: str) -> list[int]:
@@ -70,7 +70,7 @@ class Lookup:
             if hit is None:
                 if len(seen) >= self.remembered:
                     seen.clear()
-                hit = seen[word] = [self.index[f] for f in features_of(word) if f in self.index]
+                hit = seen[word] = tuple(self.index[f] for f in features_of(word) if f in self.index)
             if hit:
                 found += hit
         return found
