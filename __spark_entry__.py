@@ -18,9 +18,10 @@ from tidemark.functions import (
     local_day_end,
     local_day_start,
 )
-from tidemark.operators import curation, intervals, normalize, quality, rollup, vectors
+from tidemark.operators import curation, intervals, normalize, quality, rollup, variants, vectors
 from tidemark.operators.quality import checks, metrics
 from tidemark.operators.vector_index import VectorIndex
+from tidemark.operators.vector_store import VectorStore, content
 from tidemark.plans import Pipeline, Resource, Source, commits, paged_resource, quakes, shop, transformation, videos
 from tidemark.session import apply_settings, fresh_folder
 from tidemark.sources import bounded_events, dated, feature_files, json_pages, parquet_glob, parquet_tree
@@ -789,6 +790,27 @@ def load_file_formats(spark, sf_dir):
     return out
 
 
+@query(
+    """SELECT event_id, event_id AS payload__id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id % 2 = 0 END AS payload__deep__even,
+ CASE WHEN event_id % 7 > 2 THEN CAST(value AS DOUBLE) END AS payload__deep__mixed,
+ CASE WHEN event_id % 7 = 0 THEN event_type END AS payload__deep__mixed__v_string,
+ CASE WHEN event_id % 7 = 1 THEN true END AS payload__deep__mixed__v_boolean,
+ CASE WHEN event_id % 7 = 2 THEN '{"of":' || user_id || '}' END AS payload__deep__mixed__v_json FROM events"""
+)
+def typed_payloads(spark, sf_dir):
+    """JSON text with a nested boolean, and one place where numbers, text, booleans and objects meet."""
+    i, quoted = F.col("event_id"), lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    mixed = (
+        F.when(i % 7 == 0, quoted(F.col("event_type")))
+        .when(i % 7 == 1, "true")
+        .when(i % 7 == 2, F.concat(F.lit('{"of": '), F.col("user_id").cast("string"), F.lit("}")))
+        .otherwise(F.coalesce(F.col("value").cast("string"), F.lit("null")))
+    )
+    even = F.when(i % 5 == 0, "null").otherwise((i % 2 == 0).cast("string"))
+    text = F.format_string('{"id": %d, "deep": {"even": %s, "mixed": %s}}', i, even, mixed)
+    return variants.typed_json(table(spark, sf_dir, "events").select("event_id", text.alias("payload")), "payload")
+
+
 # ---- incremental --------------------------------------------------------------
 
 
@@ -1386,6 +1408,31 @@ def embedded_lengths(spark, sf_dir):
     return vector.select("doc_id", F.round(F.sqrt(square), 3).alias("length"), F.size("vector").alias("dimensions"))
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def letter_counts():
+    """A provider whose vectors SQL can compute: how often each letter occurs."""
+    return lambda texts: [[text.count(c) for c in LETTERS] for text in texts]
+
+
+@query(
+    f"""WITH seen AS (SELECT text, CASE WHEN bool_or(doc_id % 100 <> 0) THEN 'first' ELSE 'second' END AS embedded_in FROM documents GROUP BY text)
+ SELECT doc_id, letter, CAST(length(text) - length(replace(text, letter, '')) AS BIGINT) AS n, embedded_in
+ FROM documents JOIN seen USING (text), unnest(string_split('{",".join(LETTERS)}', ',')) t(letter)"""
+)
+def embedded_once(spark, sf_dir):
+    """Vectors after two loads, the second with one document of a hundred more: only texts that are new go to the provider."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    store = VectorStore(spark, fresh_folder(spark, "vectors"), "letters", letter_counts)
+    store.embedded(documents.where("doc_id % 100 <> 0"), {"text": "vector"}, "first")
+    found = store.embedded(documents, {"text": "vector"}, "second")
+    loads = store.vectors.select("content", F.col("load").alias("embedded_in"))
+    rows = found.join(loads, content("text") == F.col("content")).select("doc_id", "embedded_in", F.posexplode("vector").alias("place", "n"))
+    letter = F.substring(F.lit(LETTERS), F.col("place") + 1, F.lit(1))
+    return rows.select("doc_id", letter.alias("letter"), F.col("n").cast("bigint").alias("n"), "embedded_in")
+
+
 _NEIGHBOURS_SQL = """SELECT query_id, vec_id, score FROM (SELECT query_id, vec_id, score,
  row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rn FROM
  (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS score
