@@ -384,3 +384,24 @@ def test_layout_keeps_values_and_finds_old_rows(spark, run, rows, kind, values):
     moved = spark.createDataFrame([(i, values[(i + 1) % 4]) for i in range(4)], f"id bigint, v {kind}")
     run.run(target(moved, partition_by="v"), load_id="2")
     assert rows(run.dataset().t, "id", "v") == rows(moved)
+
+
+def test_a_merge_reads_its_source_once(spark, run):
+    """The batch is stored before it is used: keys, winners and rows are those of one reading."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def once(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(90).selectExpr("id % 60 AS id", "id AS v", "map('a', id) AS m").coalesce(1)
+    source = rows.mapInArrow(once, rows.schema)
+    run.run(Resource("events", lambda s: source, "merge", "id", newest="v"), load_id="1")
+    assert reads.value == 90
+    kept = run.dataset()["events"]
+    assert kept.count() == 60 and kept.agg(F.min("v")).first()[0] == 30
+    bad = source.selectExpr("IF(id = 7, NULL, id) AS id", "v", "m")
+    with pytest.raises(NullKey):
+        run.run(Resource("events", lambda s: bad, "merge", "id"), load_id="2")
+    assert run.dataset()["events"].count() == 60

@@ -130,3 +130,16 @@ def test_only_full_iso_instants_are_times(spark):
     bad = ["2024", "10115", "12:30", "2024-01", "20240102", "2024-13-01", "next year", ""]
     df = spark.createDataFrame([(x,) for x in good + bad], "t string").select("t", instant(F.col("t")).isNotNull().alias("is"))
     assert {r.t: r["is"] for r in df.collect()} == {**dict.fromkeys(good, True), **dict.fromkeys(bad, False)}
+
+
+def test_copies_come_back_as_they_went_in(spark):
+    """Negative zeros, NaN, maps and fractions inside lists, several copies of each."""
+    plain = [(0.0, 1), (-0.0, 1), (-0.0, 1), (float("nan"), None), (float("nan"), None), (None, 2), (1.5, 2)]
+    df = spark.createDataFrame(plain, "d double, i int").repartition(3)
+    got = sorted((repr(r.d), repr(r.i), r.k) for r in n.numbered_copies(df, "k").collect())
+    assert got == sorted([("0.0", "1", 0), ("-0.0", "1", 0), ("-0.0", "1", 1), ("nan", "None", 0), ("nan", "None", 1), ("None", "2", 0), ("1.5", "2", 0)])
+    nested = [({"a": -0.0}, [0.0]), ({"a": -0.0}, [0.0]), ({"a": 0.0}, [-0.0]), (None, None), ({"b": 1.0}, [None])]
+    df = spark.createDataFrame(nested, "m map<string, double>, l array<double>").repartition(3)
+    got = sorted((repr(r.m), repr(r.l), r.k) for r in n.numbered_copies(df, "k").collect())
+    assert got == sorted([*((repr(m), repr(l), 0) for m, l in nested[1:]), (repr(nested[0][0]), "[0.0]", 1)])
+    assert len({r._row_id for r in n.with_row_keys(df, load_id="1").collect()}) == 5

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def same_key(left: DataFrame, right: DataFrame, key: Sequence[str], prefix: str = "") -> Column:
@@ -17,6 +17,17 @@ def same_key(left: DataFrame, right: DataFrame, key: Sequence[str], prefix: str
     return condition
 
 
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or (isinstance(kind, T.ArrayType) and _has_map(kind.elementType))
+
+
+def keys_repeat(batch: DataFrame, key: Sequence[str]) -> bool:
+    """Whether a key has several rows; reads the key alone."""
+    return not batch.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).isEmpty()
+
+
 def latest_per_key(batch: DataFrame, key: Sequence[str], newest: str | None = None, null_keys: bool = True) -> DataFrame:
     """One row per key: the greatest `newest` wins, then the greatest row hash.
 
@@ -26,7 +37,9 @@ def latest_per_key(batch: DataFrame, key: Sequence[str], newest: str | None = No
     left out.
     """
     columns = [f"`{c}`" for c in batch.columns]
-    ranked = batch.withColumn("_rank", F.struct(*([F.col(newest)] if newest else []), F.xxhash64(*columns)))
+    # A map has no hash of its own; its text has.
+    hashed = [F.to_json(F.struct(c)) if _has_map(f.dataType) else F.col(c) for c, f in zip(columns, batch.schema.fields)]
+    ranked = batch.withColumn("_rank", F.struct(*([F.col(newest)] if newest else []), F.xxhash64(*hashed)))
     best = ranked.groupBy(*key).agg(F.max("_rank").alias("_best"))
     best = best.select(*[F.col(k).alias(f"_k_{k}") for k in key], "_best")
     if null_keys:

@@ -116,7 +116,7 @@ def numbered_copies(df: DataFrame, name: str, chunk: int = COPIES_PER_TASK_ROW)
     into pieces that are spread over tasks first.
     """
     columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    counted = _counted_copies(df)
     few = counted.where(F.col("_n") <= chunk).select(
         *columns, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)).alias(name)
     )
@@ -133,6 +133,36 @@ def numbered_copies(df: DataFrame, name: str, chunk: int = COPIES_PER_TASK_ROW)
     return few.unionByName(many)
 
 
+def _counted_copies(df: DataFrame) -> DataFrame:
+    """Distinct rows with `_n`, how often each occurs, and every value as it came in.
+
+    Grouping makes one value of 0.0 and -0.0. Where a column of its own is a fraction, the places of
+    negative zeros are grouped beside the values and put back. Rows with fractions inside lists
+    and objects, or with maps, which have no order to group by, are grouped by their text.
+    """
+    columns, fields = df.columns, df.schema.fields
+    if any(_needs_text(f.dataType) for f in fields if not isinstance(f.dataType, FRACTIONS)):
+        content = F.sha2(_canonical(columns), 256).alias("_content")
+        return df.groupBy(content).agg(F.any_value(F.struct(*columns)).alias("_row"), F.count(F.lit(1)).alias("_n")).select("_row.*", "_n")
+    signed = [f.name for f in fields if isinstance(f.dataType, FRACTIONS)]
+    if not signed:
+        return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    minus = F.array_compact(F.array(*[F.when((F.col(c) == 0) & F.col(c).cast("string").startswith("-"), F.lit(c)) for c in signed]))
+    counted = df.groupBy(*columns, minus.alias("_minus")).agg(F.count(F.lit(1)).alias("_n"))
+    kinds = {f.name: f.dataType for f in fields}
+    back = {c: F.when(F.array_contains("_minus", c), F.lit(-0.0).cast(kinds[c])).otherwise(F.col(c)) for c in signed}
+    return counted.select(*[back[c].alias(c) if c in back else c for c in columns], "_n")
+
+
+FRACTIONS = (T.DoubleType, T.FloatType)
+
+
+def _needs_text(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_needs_text(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.MapType, *FRACTIONS)) or (isinstance(kind, T.ArrayType) and _needs_text(kind.elementType))
+
+
 def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
 

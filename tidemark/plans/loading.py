@@ -14,9 +14,9 @@ from functools import reduce
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkAssertionError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tidemark.operators.merge import latest_per_key, without_keys
+from tidemark.operators.merge import keys_repeat, latest_per_key, without_keys
 from tidemark.operators.normalize import (
     LOAD_ID,
     PARENT_ID,
@@ -49,6 +49,19 @@ def observed(observation: Observation) -> dict:
         return {}
 
 
+def _storable(df: DataFrame) -> bool:
+    """Whether Parquet can hold the rows as they are: it has no untyped NULLs."""
+
+    def typed(kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return all(typed(f.dataType) for f in kind.fields)
+        if isinstance(kind, T.MapType):
+            return typed(kind.keyType) and typed(kind.valueType)
+        return typed(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, T.NullType)
+
+    return typed(df.schema)
+
+
 class NullKey(ValueError):
     """Rows of a merge without a key; `null_keys` of the resource allows them."""
 
@@ -241,17 +254,28 @@ class Pipeline:
         if cursor is not None:
             df = cursor.rows(df)
             seen += [F.count_if(F.col(cursor.cursor).isNull()).alias("missing"), F.max(cursor.cursor).alias("top")]
+        stage = merge and not resource.unique_batch and _storable(df)
         if merge and not resource.null_keys:
-            # Reads the key alone; files with statistics are not even opened.
             unnamed = reduce(Column.__or__, [F.col(k).isNull() for k in key])
-            if not df.where(unnamed).isEmpty():
+            if stage:
+                seen.append(F.count_if(unnamed).alias("unnamed"))
+            elif not df.where(unnamed).isEmpty():
+                # Reads the key alone; files with statistics are not even opened.
                 raise NullKey(f"{resource.name}: rows lack a part of the key {', '.join(key)}")
         unobserved, high = df, Observation() if seen else None
         if high is not None:
             df = df.observe(high, *seen)
         if appends and cursor is not None and cursor.resumed and cursor.start is not None and (cursor.range_start == "closed" or cursor.lag):
             df = self._unseen(df, resource)
-        if merge and not resource.unique_batch:
+        if stage:
+            # The source is read once: keys, winners and rows all come from the stored batch.
+            df = self._kept(df, f"batch-{resource.table}")
+            counted = observed(high) if seen else {}
+            if "unnamed" not in counted and not resource.null_keys:
+                counted = df.agg(F.count_if(unnamed).alias("unnamed")).first().asDict()
+            if counted.get("unnamed"):
+                raise NullKey(f"{resource.name}: rows lack a part of the key {', '.join(key)}")
+        if merge and not resource.unique_batch and (not stage or keys_repeat(df, key)):
             df = latest_per_key(df, key, resource.newest, resource.null_keys)
         nested = has_nesting(df)
         lists = nested_lists(flatten(df)) if nested else []
@@ -261,10 +285,7 @@ class Pipeline:
             df = with_row_keys(df, key, load_id)
         if lists:
             # Parsed once: the parent and every child table read the stored copy.
-            staged = fresh_folder(self.spark, f"nested-{resource.table}")
-            self._staged.append(staged)
-            df.write.parquet(staged)
-            df = self.spark.read.schema(df.schema).parquet(staged)
+            df = self._kept(df, f"nested-{resource.table}")
         tables = relational_tables(df, resource.table) if nested else {resource.table: df}
         if resource.infer_times:
             tables = {name: self._timed(name, rows) for name, rows in tables.items()}
@@ -288,6 +309,13 @@ class Pipeline:
                     }
                 )
 
+    def _kept(self, df: DataFrame, label: str) -> DataFrame:
+        """The rows from a copy in the shared folder, which goes when the run ends."""
+        staged = fresh_folder(self.spark, label)
+        self._staged.append(staged)
+        df.write.parquet(staged)
+        return self.spark.read.schema(df.schema).parquet(staged)
+
     def _unseen(self, df: DataFrame, resource: Resource) -> DataFrame:
         """Rows of a resumed append that are not stored yet: as many copies less as the table has.
 
