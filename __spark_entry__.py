@@ -1340,6 +1340,106 @@ def authors_from_sketches(spark, sf_dir):
     return both.select("month", "unique_authors", near.alias("within_three_percent"))
 
 
+def _landed_feeds(spark, sf_dir) -> tuple[str, str]:
+    """Events as collections of many features each, and the newest version of a feed in a folder of its own."""
+    k = F.from_json("props", "k bigint").getField("k")
+    feature = F.struct(
+        F.col("event_id").cast("string").alias("id"),
+        F.struct(
+            F.col("value").alias("mag"),
+            F.concat_ws(", ", F.lit("here"), "event_type").alias("place"),
+            F.unix_millis(F.col("ts").cast("timestamp")).alias("time"),
+        ).alias("properties"),
+        F.struct(F.array(k.cast("double"), k.cast("double"), k / 4.0).alias("coordinates")).alias("geometry"),
+    )
+    folders = [fresh_folder(spark, name) for name in ("events", "summary")]
+    for folder, where in zip(folders, ("true", "event_id % 11 = 0")):
+        pages = table(spark, sf_dir, "events").where(where).groupBy((F.col("event_id") % 97).alias("page")).agg(F.collect_list(feature).alias("features"))
+        pages.select(F.to_json(F.struct("features")).alias("value")).write.text(folder)
+    return tuple(folders)
+
+
+_PLACED_SQL = "SELECT CAST(event_id AS VARCHAR) AS id, event_type AS region, value AS magnitude, CAST(json_extract(props, '$.k') AS BIGINT) / 4.0 AS depth_km"
+
+
+@query(
+    f"""{_PLACED_SQL}, 'window' AS feed FROM (SELECT *, date_trunc('millisecond', ts) AS ms FROM events)
+ WHERE ms >= TIMESTAMP '2024-01-05' AND ms <= TIMESTAMP '2024-01-12' AND value >= 2.5
+ UNION ALL {_PLACED_SQL}, 'summary' FROM events WHERE event_id % 11 = 0"""
+)
+def loaded_feeds(spark, sf_dir):
+    """Both feeds of the source from landed collections of many features: a window, merged twice, and a snapshot, replaced twice."""
+    run = pipeline(spark, "feeds")
+    events, summary = _landed_feeds(spark, sf_dir)
+    for number, span in enumerate([("2024-01-05", "2024-01-09"), ("2024-01-08", "2024-01-12")]):
+        run.run(quakes.quake_feeds(events, summary, TimeWindow(*span), glob="*", multi_line=False), load_id=str(number))
+    data = run.dataset()
+    parts = [data[name].select("id", quakes.place_region("place").alias("region"), "magnitude", "depth_km", F.lit(feed).alias("feed")) for name, feed in (("earthquakes", "window"), ("feeds_summary", "summary"))]
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    """SELECT 'include' AS policy, count(*) AS n_rows, count(*) FILTER (event_id % 10 = 0) AS without_time FROM events
+ WHERE event_id % 10 = 0 OR (ts >= TIMESTAMP '2024-01-05' AND ts <= TIMESTAMP '2024-01-12')
+ UNION ALL SELECT 'exclude', count(*), 0 FROM events WHERE event_id % 10 <> 0 AND ts >= TIMESTAMP '2024-01-05' AND ts <= TIMESTAMP '2024-01-12'"""
+)
+def rows_without_cursor(spark, sf_dir):
+    """Every tenth event has no time: what a window loads of them by policy."""
+    run = pipeline(spark, "no-cursor")
+    events = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 10 != 0, F.col("ts")).alias("ts"))
+    parts = []
+    for policy in ("include", "exclude"):
+        cursor = Incremental("ts", "2024-01-05", "2024-01-12", on_null=policy)
+        run.run(Resource(policy, lambda s: events, "merge", "event_id", incremental=cursor, buckets=4), load_id=policy)
+        missing = F.count_if(F.col("ts").isNull()).alias("without_time")
+        parts.append(run.dataset()[policy].agg(F.count(F.lit(1)).alias("n_rows"), missing).select(F.lit(policy).alias("policy"), "n_rows", "without_time"))
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    """SELECT c_custkey, sha256(c_name) AS c_name, sha256(CAST(c_acctbal AS VARCHAR)) IS NOT NULL AS has_balance, c_mktsegment FROM customer"""
+)
+def masked_customers(spark, sf_dir):
+    """Columns that are flagged as personal, found by their annotation after a load, leave as hashes."""
+    run = pipeline(spark, "masked")
+    notes = {"c_name": {"pii": True}, "c_acctbal": {"pii": True}, "c_mktsegment": {"note": "open"}}
+    rows = table(spark, sf_dir, "customer").select("c_custkey", *notes)
+    run.run(Resource("customer", lambda s: rows, "replace", "c_custkey", columns=notes))
+    stored = run.dataset()["customer"]
+    hashed = stored.withColumns({c: F.sha2(F.col(c).cast("string").cast("binary"), 256) for c in normalize.flagged_columns(stored, "pii")})
+    return hashed.select("c_custkey", "c_name", F.col("c_acctbal").isNotNull().alias("has_balance"), "c_mktsegment")
+
+
+@query(
+    """SELECT 'docs__lines' AS table_name, 'value' AS column_name, 'string' AS data_type, 'docs' AS parent_table, count(*) AS filled
+ FROM (SELECT unnest(string_split(text, ' ')) FROM documents)
+ UNION ALL SELECT 'docs', 'doc_id', 'bigint', NULL, count(doc_id) FROM documents
+ UNION ALL SELECT 'docs', 'lang', 'string', NULL, count(lang) FROM documents"""
+)
+def exported_schema(spark, sf_dir):
+    """The catalogue of a parent and its child table, with how many values each of its columns holds."""
+    run = pipeline(spark, "schema")
+    lists = F.transform(F.split("text", " "), lambda x: F.struct(x.alias("value")))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", lists.alias("lines"))
+    run.run(Resource("docs", lambda s: rows, "merge", "doc_id"))
+    data = run.dataset()
+    columns = data.catalogue().where("column_name IN ('doc_id', 'lang', 'value')").select("table_name", "column_name", "data_type", "parent_table")
+    counts = None
+    for name, names in (("docs", ["doc_id", "lang"]), ("docs__lines", ["value"])):
+        one = data[name].agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "column_name", "filled").withColumn("table_name", F.lit(name))
+        counts = one if counts is None else counts.unionByName(one)
+    return columns.join(counts, ["table_name", "column_name"])
+
+
+@query(f"SELECT * FROM ({LINE_RESULTS_SQL}) WHERE check_name <> 'none'")
+def checks_added_later(spark, sf_dir):
+    """A suite that starts with two rules and gets the others one by one has the results of the whole."""
+    suite = quality.CheckSuite({"lineitem": table(spark, sf_dir, "lineitem")}, {"lineitem": LINE_RULES[:2]})
+    for rule in LINE_RULES[2:]:
+        suite.add_checks("lineitem", [rule])
+    return suite.results("table")
+
+
 # ---- curation and vectors -----------------------------------------------------
 
 MEASURES = {"avg_chars": "n_chars", "avg_quality": "quality"}
