@@ -162,3 +162,16 @@ def test_many_sentences_without_evidence_are_not_toxic():
     for model in (toxicity.Model({}, np.zeros(0), -6.0), toxicity.Model({"vile": 0}, np.array([9.0]), -6.0)):
         score, start, end, worst = model.scores(text, toxicity.Lookup(model.index))
         assert score == worst == 0 and start == 0 < end
+
+
+def test_rows_without_an_id_are_marked_like_an_empty_one(spark, tmp_path):
+    from tidemark.llm.queries import op9_quality, op10_toxicity
+
+    words = ["calm water runs over the stones.", "you are an awful hateful fool!"]
+    rows = [(None if i == 0 else i, f"{words[i % 2]} line {i}") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(i, i % 2, i % 2) for i in range(40)] + [(None, 1, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for fn, want in ((op9_quality, True), (op10_toxicity, False)):
+        found = {r["doc_id"]: r["held_out"] for r in fn(spark, str(tmp_path)).select("doc_id", "held_out").collect()}
+        assert len(found) == 40 and found[None] is want and None not in found.values()

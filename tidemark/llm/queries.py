@@ -50,7 +50,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = quality.scored(rows, quality.fit(train, F.col("label")))
     return scores.select(
         F.col("c0").alias("doc_id"),
-        (remainder("c0", 5) == 0).alias("held_out"),
+        # A row without an id has the remainder of an empty text, 0, here and below.
+        F.coalesce(remainder("c0", 5) == 0, F.lit(True)).alias("held_out"),
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
@@ -63,7 +64,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, labels, label_col="toxic")
     return toxicity.scored(docs, model).select(
         "doc_id",
-        (remainder("doc_id", 3) == 1).alias("held_out"),
+        F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.7).cast("int").alias("predicted"),
         "sentence_start",
