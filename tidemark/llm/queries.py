@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -130,7 +131,7 @@ _HEAD_SQL = (
 def op3_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages as archives, against a replica that lost some records and has damaged headers, lengths and payloads of others.
 
-    Both are written as WARC files and read again; only the sound one is read by its lengths.
+    Both are written as compressed WARC files, and audited from these files alone.
     """
     ours = warc.archived(table(spark, sf_dir, "pages"), PAGES_PER_FILE, "page_id", "url", "html")
     text = F.col("record").cast("string")
@@ -139,11 +140,12 @@ def op3_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("id") % 3 == 1, F.overlay(text, F.lit("x"), F.instr(text, "\r\nContent-Length: ") + 18))
         .otherwise(F.overlay(text, F.lit("\x01"), F.length(text) - 4))
     )
-    theirs = ours.where("id % 89 <> 3").withColumn("record", F.when(F.col("id") % 97 == 5, damaged.cast("binary")).otherwise(F.col("record")))
+    theirs = F.when(F.expr("id % 97 = 5"), damaged.cast("binary")).otherwise(F.col("record"))
     folder = fresh_folder(spark, "archives")
-    sides = [warc.write_plain(side, f"{folder}/{name}") for name, side in (("ours", ours), ("theirs", theirs))]
-    found = warc.audit(*warc.replicas(*sides))
-    return found.join(ours.select("file", "offset", F.col("id").alias("page_id")), ["file", "offset"]).select("page_id", "file", "offset", "fault")
+    warc.write_replicas(ours, {"ours": F.col("record"), "theirs": F.when(F.expr("id % 89 <> 3"), theirs)}, folder)
+    found = warc.audit_files(*(partial(warc.numbered_files, spark, f"{folder}/side={side}") for side in ("ours", "theirs")))
+    page_id = F.regexp_extract("record_id", "<urn:record:(.*)>", 1).cast("long").alias("page_id")
+    return found.select(page_id, F.col("file").cast("long").alias("file"), "offset", "fault")
 
 
 @query()

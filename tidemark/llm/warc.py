@@ -12,12 +12,15 @@ gathers more; a file, however large, is hashed by as many tasks as it has ranges
 
 from __future__ import annotations
 
+import hashlib
 import math
+import re
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import deque
-from collections.abc import Iterator
-from functools import partial, reduce
+from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import pairwise
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -46,7 +49,7 @@ def record_bytes(record_id: Column, uri: Column, payload: Column) -> Column:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of WARC files, plain or with one gzip member per record.
+    """Records of WARC files, plain, with one gzip member per record, or compressed as a whole (offsets are then those of the content).
 
     `file`, `offset` and `length` (of the stored bytes), `record_id`, `uri`, `type`, `record`
     (the stored record, uncompressed). A file is read by one task, so files should keep to
@@ -57,7 +60,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, data in zip(batch["file"], batch["content"]):
-                for offset, length, record in split_records(bytes(data)):
+                for offset, length, record in split_records(opened(bytes(data))):
                     head = headers(record)
                     yield pd.DataFrame(
                         {
@@ -108,6 +111,14 @@ def _resumed(data: bytes, at: int) -> int:
     return magic if magic >= 0 else header
 
 
+def opened(data: bytes) -> bytes:
+    """A stored file; the content of one that is compressed as a whole, not record by record."""
+    if data.startswith(GZIP) and (member := _member(data, 0)) and member[0] == len(data):
+        _, length, _ = next(split_records(member[1]), (0, 0, b""))
+        return member[1] if length < len(member[1]) else data
+    return data
+
+
 def split_records(data: bytes) -> Iterator[tuple[int, int, bytes]]:
     """Offset, stored length and bytes of each record of a file.
 
@@ -132,105 +143,191 @@ def split_records(data: bytes) -> Iterator[tuple[int, int, bytes]]:
         at += length
 
 
-def realigned(sound: bytes, other: bytes) -> Iterator[tuple[int, bytes]]:
-    """The stored records of a file, as another replica has them, by their offsets in the sound one.
-
-    Records that the other replica lost are left out, wherever its later ones have moved;
-    what only the other has stands behind the end of the sound file. A stretch between two
-    records that agree is matched by record id, then by length, then in order.
+def in_order(left: list[str], right: list[str]) -> list[tuple[int, int]]:
+    """Places of equal values in two lists, both rising: the longest such run over the first, second, ... copies of each value."""
+    waiting: dict[str, deque[int]] = {}
+    for j, value in enumerate(right):
+        waiting.setdefault(value, deque()).append(j)
+    pairs = [(i, waiting[value].popleft()) for i, value in enumerate(left) if waiting.get(value)]
+    ends: list[int] = []  # the least right place in which a run of each length ends
+    last: list[int] = []  # its pair
+    before: list[int] = []
+    for n, (_, j) in enumerate(pairs):
+        k = bisect_left(ends, j)
+        ends[k : k + 1], last[k : k + 1] = [j], [n]
+        before.append(last[k - 1] if k else -1)
+    run, n = [], last[-1] if last else -1
+    while n >= 0:
+        run.append(pairs[n])
+        n = before[n]
+    return run[::-1]
+
+
+def aligned(ours: pd.DataFrame, theirs: pd.DataFrame) -> Iterator[tuple]:
+    """Faults among the differing records of one file, told from offsets, lengths, ids and hashes.
+
+    Records of equal hash belong together, wherever they have moved. A stretch between two
+    of them that has kept its length has not moved: its records are changed, and where the
+    other replica can't be cut as ours its bytes have to be read (`unread`, with the place
+    in the other file). Else records are matched by id, then length, then order; what is left
+    is missing or extra.
     """
-    index = [(at, sound[at : at + length], record) for at, length, record in split_records(sound)]
-    places: dict[bytes, list[int]] = {}
-    for at, length, _ in split_records(other):
-        places.setdefault(other[at : at + length], []).append(at)
-
-    def after(stored: bytes, place: int) -> int | None:
-        found = places.get(stored, [])
-        k = bisect_left(found, place)
-        return found[k] if k < len(found) else None
-
-    place, i, extra = 0, 0, len(sound)
-    while i < len(index) or place < len(other):
-        if i < len(index) and other.startswith(index[i][1], place):
-            yield index[i][:2]
-            place += len(index[i][1])
-            i += 1
-            continue
-        met = ((k, after(index[k][1], place)) for k in range(i, len(index)))
-        j, stop = next(((k, p) for k, p in met if p is not None), (len(index), len(other)))
-        lost, gap = index[i:j], other[place:stop]
-        if len(gap) == sum(len(stored) for _, stored, _ in lost):
-            # Nothing moved: the sound offsets hold, however damaged the headers are.
-            yield from ((at, gap[at - lost[0][0] :][: len(stored)]) for at, stored, _ in lost)
-        else:
-            pieces = [(at, gap[at : at + length], record) for at, length, record in split_records(gap)]
-            for key in (lambda r: headers(r[2]).get("warc-record-id"), lambda r: len(r[1]), lambda r: "any"):
-                waiting: dict = {}
-                for record in lost:
-                    waiting.setdefault(key(record), deque()).append(record)
-                matched, left = set(), []
-                for piece in pieces:
-                    if (k := key(piece)) is not None and waiting.get(k):
-                        record = waiting[k].popleft()
-                        matched.add(record[0])
-                        yield record[0], piece[1]
-                    else:
-                        left.append(piece)
-                lost, pieces = [r for r in lost if r[0] not in matched], left
-            for _, stored, _ in pieces:
-                yield extra, stored
-                extra += len(stored)
-        place, i = stop, j
-
-
-def stored_files(spark: SparkSession, path: str) -> DataFrame:
-    """`file`, `content` of the files in and below a folder; names are relative to it, so that replicas agree on them."""
+    lost, pieces = (list(side.sort_values("offset").itertuples(index=False)) for side in (ours, theirs))
+    i = j = 0
+    for k, m in [*in_order([r.hash for r in lost], [r.hash for r in pieces]), (len(lost), len(pieces))]:
+        yield from _gap(lost[i:k], pieces[j:m])
+        i, j = k + 1, m + 1
+
+
+def _gap(lost: list, pieces: list) -> Iterator[tuple]:
+    """The same for records between two that agree, cut where records in between agree at their own offsets."""
+    cuts = sorted({b.offset for side in (lost, pieces) for a, b in pairwise(side) if a.offset + a.length != b.offset})
+    stretches: list[tuple[list, list]] = [([], []) for _ in range(len(cuts) + 1)]
+    for n, side in enumerate((lost, pieces)):
+        for record in side:
+            stretches[bisect_right(cuts, record.offset)][n].append(record)
+    for stretch in stretches:
+        yield from _stretch(*stretch)
+
+
+def _stretch(lost: list, pieces: list) -> Iterator[tuple]:
+    if [r.length for r in lost] == [r.length for r in pieces]:
+        yield from ((r.offset, r.record_id, "changed", None, r.length, r.hash) for r in lost)
+        return
+    if sum(r.length for r in lost) == sum(r.length for r in pieces):
+        shift = pieces[0].offset - lost[0].offset
+        yield from ((r.offset, r.record_id, "unread", r.offset + shift, r.length, r.hash) for r in lost)
+        return
+    for key in (lambda r: r.record_id, lambda r: r.length, lambda r: "any"):
+        waiting: dict = {}
+        for record in lost:
+            waiting.setdefault(key(record), deque()).append(record)
+        matched, left = set(), []
+        for piece in pieces:
+            if (k := key(piece)) is not None and waiting.get(k):
+                record = waiting[k].popleft()
+                matched.add(record.offset)
+                yield record.offset, record.record_id, "changed", None, record.length, record.hash
+            else:
+                left.append(piece)
+        lost, pieces = [r for r in lost if r.offset not in matched], left
+    yield from ((r.offset, r.record_id, "missing", None, r.length, r.hash) for r in lost)
+    yield from ((r.offset, r.record_id, "extra", None, r.length, r.hash) for r in pieces)
+
+
+def stored_files(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
+    """`file`, `content` of the files in and below a folder, or of the named ones; names are relative to it, so that replicas agree on them."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString().rstrip("/")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    wanted = path if names is None else [f"{path}/" + re.sub(r"([\\\[\]{}*?])", r"\\\1", name) for name in names]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(wanted)
     inside = F.expr(f"substring(path, {len(root) + 2})")
     name = F.when(F.startswith("path", F.lit(root + "/")), inside).otherwise(F.substring_index("path", "/", -1))
     return files.select(name.alias("file"), "content")
 
 
-def replicas(ours: DataFrame, theirs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two replicas (`file`, `content`) as tables for `audit`: the stored bytes of both, by the offsets of `ours`, the sound one."""
-    kind = ours.schema["file"].dataType.simpleString()
-    both = ours.select("file", "content").join(theirs.select("file", F.col("content").alias("other")), "file", "full")
+def numbered_files(spark: SparkSession, path: str, names: list | None = None) -> DataFrame:
+    """`file` (number), `content` of one replica of `write_replicas`; only the folders of the named files are read."""
+    files = spark.read.format("binaryFile").load(path)
+    return (files if names is None else files.where(F.col("file").isin(names))).select("file", "content")
 
-    def placed(batches: Iterator[pd.DataFrame], other: str) -> Iterator[pd.DataFrame]:
+
+def hashed(files: DataFrame) -> DataFrame:
+    """The records of files (`file`, `content`), hashed where they lie: `file`, `offset`, `length`, `record_id`, `hash` of the stored bytes."""
+
+    def leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, sound, stored in zip(batch["file"], batch["content"], batch[other]):
-                rows = list(realigned(bytes(sound or b""), bytes(stored or b"")))
-                yield pd.DataFrame({"file": name, "offset": [at for at, _ in rows], "record": [r for _, r in rows]})
+            for name, data in zip(batch["file"], batch["content"]):
+                data, rows = opened(bytes(data)), []
+                for offset, length, record in split_records(data):
+                    digest = hashlib.sha256(data[offset : offset + length]).hexdigest()
+                    rows.append((name, offset, length, headers(record).get("warc-record-id"), digest))
+                yield pd.DataFrame(rows, columns=["file", "offset", "length", "record_id", "hash"])
 
-    schema = f"file {kind}, offset long, record binary"
-    return tuple(df.mapInPandas(partial(placed, other=c), schema) for df, c in ((ours, "content"), (both, "other")))
+    kind = files.schema["file"].dataType.simpleString()
+    return files.mapInPandas(leaves, f"file {kind}, offset long, length long, record_id string, hash string")
 
 
-def write_plain(records: DataFrame, path: str) -> DataFrame:
-    """Write records (`file`, `offset`, `record`, each ended by an empty line) as plain archives, one folder per file; `file`, `content` of them."""
-    spark, kind = records.sparkSession, records.schema["file"].dataType
+def audit_files(ours: Callable[..., DataFrame], theirs: Callable[..., DataFrame], fanout: int = FANOUT, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Records in which two replicas of archives differ: `file`, `offset`, `record_id`, `fault`; `ours` is the sound one.
+
+    A replica is a function: its files (`file`, `content`), or those of a list of names. Each is
+    hashed where it lies, in one pass; its tree is over ranges of its own offsets. Roots
+    are compared and differing branches descended. Only hashes move, and only those of records
+    below differing branches are aligned, file by file, since records behind a lost one have other
+    offsets there. Bytes are read again where that leaves doubt, from the files concerned alone.
+
+    `fault` is `changed`, `missing`, or `extra`, which has the offset and id of theirs. Empty
+    replicas and files that one of them lacks are compared like others. A file is the work of
+    one task.
+    """
+    spark = (files := ours()).sparkSession
+    scratch = Scratch(spark, "fixity")
+    sides = [scratch.keep(hashed(f))[0] for f in (files, theirs())]
+    differ = differing(*sides, fanout, range_bytes, scratch)
+    below = [
+        side.join(differ.where(F.col(own).isNotNull()).select("file", F.col("no").alias("offset")), ["file", "offset"], "left_semi")
+        for side, own in zip(sides, ("a", "b"))
+    ]
+    kind = files.schema["file"].dataType.simpleString()
+    columns = ["offset", "record_id", "fault", "start", "length", "hash"]
+
+    def faults(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        found = pd.DataFrame(list(aligned(a, b)), columns=columns)
+        found["start"] = found["start"].astype("Int64")
+        found.insert(0, "file", (a if len(a) else b)["file"].iloc[0])
+        return found
+
+    schema = f"file {kind}, offset long, record_id string, fault string, start long, length long, hash string"
+    found, _ = scratch.keep(below[0].groupBy("file").cogroup(below[1].groupBy("file")).applyInPandas(faults, schema))
+    unread = found.where("fault = 'unread'")
+    told = found.where("fault <> 'unread'").select("file", "offset", "record_id", "fault")
+    # Names of files only, which Spark lists on the driver anyhow.
+    names = [row["file"] for row in unread.select("file").distinct().collect()]
+    if not names:
+        return told
+
+    def read(places: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+        data = opened(bytes(stored["content"].iloc[0]))
+        own = [hashlib.sha256(data[at : at + size]).hexdigest() for at, size in zip(places["start"], places["length"])]
+        return places.loc[places["hash"] != own, ["file", "offset", "record_id"]].assign(fault="changed")
+
+    files = theirs(names).groupBy("file")
+    return told.unionByName(unread.groupBy("file").cogroup(files).applyInPandas(read, told.schema))
+
+
+def write_replicas(records: DataFrame, sides: dict[str, Column], path: str) -> None:
+    """Write replicas of archives, a folder for each, from one shuffle of their records.
+
+    `records` has `file` and `offset`; `sides` gives each replica's record, ended by an empty
+    line, or null where it has none. A file is compressed as a whole by Spark's text writer.
+    """
     # The text writer ends every row with the last two bytes of its record.
-    text = F.expr("substring(record, 1, octet_length(record) - 2)").cast("string").alias("value")
-    rows = records.repartition("file").sortWithinPartitions("file", "offset").select("file", text)
-    rows.write.partitionBy("file").option("lineSep", "\r\n").text(path)
-    number = F.regexp_extract("file", "file=([^/]*)/", 1).cast(kind)
-    return stored_files(spark, path).select(number.alias("file"), "content")
+    each = F.explode(F.array(*(F.struct(F.lit(name).alias("side"), record.alias("record")) for name, record in sides.items())))
+    rows = records.repartition("file").select("file", "offset", each.alias("r")).where("r.record IS NOT NULL")
+    text = F.expr("substring(r.record, 1, octet_length(r.record) - 2)").cast("string").alias("value")
+    rows = rows.select("r.side", "file", "offset", text).sortWithinPartitions("side", "file", "offset").drop("offset")
+    rows.write.partitionBy("side", "file").option("lineSep", "\r\n").option("compression", "gzip").text(path)
 
 
-def tree(records: DataFrame, fanout: int = FANOUT, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def last_offset(records: DataFrame) -> int:
+    return records.where("file IS NOT NULL").agg(F.max("offset")).first()[0] or 0
+
+
+def tree(records: DataFrame, fanout: int = FANOUT, range_bytes: int = RANGE_BYTES, last: int | None = None) -> DataFrame:
     """Nodes of every file's tree: `file`, `level`, `no`, `hash`; level 0 has the records, `no` their offset.
 
-    `records` has `file`, `offset`, `record`. The highest level has one node per file. A
+    `records` has `file`, `offset` and `record`, or its `hash`. The highest level has one node per file, if no offset is above
+    `last` (by default the largest). A
     null record counts as empty; rows without file or offset have no place and are left
     out. Rows that repeat file and offset count together: their hashes are hashed in order.
     """
     placed = records.where("file IS NOT NULL AND offset IS NOT NULL")
-    leaves = placed.select("file", F.col("offset").alias("no"), F.sha2(F.coalesce("record", F.lit(b"")), 256).alias("hash"))
+    own = F.sha2(F.coalesce("record", F.lit(b"")), 256) if "record" in records.columns else F.col("hash")
+    leaves = placed.select("file", F.col("offset").alias("no"), own.alias("hash"))
     repeated = leaves.groupBy("file", "no").agg(F.array_join(F.sort_array(F.collect_list("hash")), "").alias("hash"))
     leaves = repeated.select("file", F.lit(0).alias("level"), "no", "hash")
-    last = placed.agg(F.max("offset")).first()[0] or 0
+    last = last_offset(placed) if last is None else last
     levels, nodes = [leaves], leaves
     for level in range(1, 2 + max(0, math.ceil(math.log(last // range_bytes + 1, fanout) - 1e-9))):
         width = range_bytes if level == 1 else fanout
@@ -242,17 +339,12 @@ def tree(records: DataFrame, fanout: int = FANOUT, range_bytes: int = RANGE_BYTE
     return reduce(DataFrame.unionByName, levels)
 
 
-def audit(ours: DataFrame, theirs: DataFrame, fanout: int = FANOUT, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Records in which two replicas differ: `file`, `offset`, `fault`.
-
-    `fault` is `changed`, `missing` (not in theirs) or `extra` (only in theirs). Replicas
-    are tables as for `tree`; agreeing ones, two empty ones too, give no rows.
-    """
-    spark, scratch = ours.sparkSession, None
-    scratch = Scratch(spark, "merkle")
-    trees = [scratch.keep(tree(r, fanout, range_bytes))[0] for r in (ours, theirs)]
-    tops = [t.agg(F.max("level")).first()[0] or 0 for t in trees]
-    top, suspects = max(tops), None
+def differing(ours: DataFrame, theirs: DataFrame, fanout: int, range_bytes: int, scratch: Scratch) -> DataFrame:
+    """Leaves in which the trees of two tables differ: `file`, `no`, hashes `a` and `b`, null where there is none."""
+    # Both trees are as high as the longer replica needs, so that roots meet roots.
+    last = max(map(last_offset, (ours, theirs)))
+    trees = [scratch.keep(tree(r, fanout, range_bytes, last))[0] for r in (ours, theirs)]
+    top, suspects = max(t.agg(F.max("level")).first()[0] or 0 for t in trees), None
     for level in range(top, -1, -1):
         sides = []
         for name, nodes in zip(("a", "b"), trees):
@@ -264,6 +356,16 @@ def audit(ours: DataFrame, theirs: DataFrame, fanout: int = FANOUT, range_bytes:
         differ = sides[0].join(sides[1], ["file", "no"], "full").where(~F.col("a").eqNullSafe(F.col("b")))
         found, _ = scratch.keep(differ)
         suspects = found.select("file", F.col("no").alias("parent"))
+    return found
+
+
+def audit(ours: DataFrame, theirs: DataFrame, fanout: int = FANOUT, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Records in which two replicas differ: `file`, `offset`, `fault`.
+
+    `fault` is `changed`, `missing` (not in theirs) or `extra` (only in theirs). Replicas
+    are tables as for `tree`; agreeing ones, two empty ones too, give no rows.
+    """
+    found = differing(ours, theirs, fanout, range_bytes, Scratch(ours.sparkSession, "merkle"))
     fault = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("changed")
     return found.select("file", F.col("no").alias("offset"), fault.alias("fault"))
 
