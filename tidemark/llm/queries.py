@@ -113,7 +113,7 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_texts(rows, pages.fit(rows))
 
 
-PAGES_PER_FILE = 256
+PAGES_PER_FILE = 4096
 
 _HEAD_SQL = (
     r"'WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:record:' || page_id || '>\r\nWARC-Target-URI: ' || coalesce(url, '') "
