@@ -175,3 +175,57 @@ def test_rows_without_an_id_are_marked_like_an_empty_one(spark, tmp_path):
     for fn, want in ((op9_quality, True), (op10_toxicity, False)):
         found = {r["doc_id"]: r["held_out"] for r in fn(spark, str(tmp_path)).select("doc_id", "held_out").collect()}
         assert len(found) == 40 and found[None] is want and None not in found.values()
+
+
+def brute_scores(rows, held):
+    """Scores of texts from contexts counted one by one in dictionaries, every distribution and walk spelled out."""
+    st, counts, words = suffix_tree, collections.Counter(), collections.Counter()
+    train = [st.spelled(t) for (_, t), h in zip(rows, held) if not h]
+    seen = collections.Counter(b for data in train for b in data[st.DEPTH :])
+    ranked = sorted(range(256), key=lambda b: (b not in (32, 10), -seen[b], b))
+    symbol = {b: min(i, st.SYMBOLS - 1) for i, b in enumerate(ranked)}
+    for data in train:
+        s = [symbol[b] for b in data]
+        for i in range(st.DEPTH, len(s)):
+            for d in range(st.DEPTH + 1):
+                counts[tuple(s[i - d : i]), s[i]] += 1
+        words.update((*data[st.DEPTH : -1].split(), b"\n"))
+    total, nexts = sum(words.values()), collections.defaultdict(dict)
+    for (context, s), n in counts.items():
+        nexts[context][s] = n
+    need, chance, kept = math.ceil(st.MIN_SHARE * sum(seen.values())), {}, {()}
+    for context in sorted({(), *nexts}, key=len):
+        here, n = nexts[context], sum(nexts[context].values())
+        if context and n < need:
+            continue
+        if not context:
+            chance[context] = [(here.get(s, 0) + 1) / (n + st.SYMBOLS) for s in range(st.SYMBOLS)]
+            continue
+        above = chance[context[1:]]
+        chance[context] = [(here.get(s, 0) + st.PRIOR * above[s]) / (n + st.PRIOR) for s in range(st.SYMBOLS)]
+        if sum(c * math.log(c / n / above[s]) for s, c in here.items()) >= st.MIN_DIVERGENCE:
+            kept |= {context[i:] for i in range(len(context))}
+    scores = []
+    for _, text in rows:
+        data, score, token = st.spelled(text), 0.0, 0.0
+        s, start = [symbol[b] for b in data], st.DEPTH
+        for i in range(st.DEPTH, len(data)):
+            longest = next(tuple(s[i - d : i]) for d in range(st.DEPTH, -1, -1) if tuple(s[i - d : i]) in kept)
+            token += math.log(chance[longest][s[i]]) - (math.log(256 - st.SYMBOLS + 1) if s[i] == st.SYMBOLS - 1 else 0)
+            if data[i] in b" \n":
+                word = b"\n" if data[i] == 10 else data[start:i]
+                score += math.log10((1 - st.WORD_SHARE) * math.exp(token) + st.WORD_SHARE * words[word] / max(total, 1))
+                start, token = i + 1, 0.0
+        scores.append(score)
+    return scores
+
+
+def test_suffix_tree_scores_against_brute_force(spark):
+    """Thirty real texts (long ones cut for the test's sake) and odd ones, some of bytes that no training text has."""
+    found = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(30).collect()
+    rows = [(r["doc_id"], r["text"][:900]) for r in found] + [(900, None), (901, ""), (902, "unseen 日本 ~~"), (903, " One  two\n")]
+    held = [d % 4 == 0 or d == 902 for d, _ in rows]
+    out = suffix_tree.scored(frame(spark, rows), F.expr("doc_id % 4 = 0 OR doc_id = 902"), block_bytes=10_000).collect()
+    got = {r["doc_id"]: r["score"] for r in out}
+    for (doc, _), expected in zip(rows, brute_scores(rows, held)):
+        assert abs(got[doc] - expected) < 1e-5 * max(1, abs(expected)), doc
