@@ -7,7 +7,8 @@ own path only. An audit compares roots and descends into the children of nodes t
 differ; branches that agree are never looked at below.
 
 A node has at most `fanout` children, or the records that start in one range, so no task
-gathers more; a file, however large, is hashed by as many tasks as it has ranges.
+gathers more. `audit` takes tables of records. `audit_files` takes stored files, each of which
+is hashed by the task that reads it; nothing but hashes leaves that task.
 """
 
 from __future__ import annotations
