@@ -34,7 +34,7 @@ class Scratch:
 
     Each call of `keep` writes a frame and reads it back, so that later stages
     start from files every executor can reach. `drop` removes a table that
-    nothing needs any more; the rest goes with the session.
+    nothing needs any more; the rest stays for the readers of a lazy result.
     """
 
     def __init__(self, spark: SparkSession, label: str) -> None:
