@@ -222,3 +222,16 @@ def test_archives_compressed_as_a_whole(spark, tmp_path):
     found = sorted(warc.read_warc(spark, str(tmp_path)).collect(), key=lambda r: r["offset"])
     assert [bytes(r["record"]) for r in found] == stored
     assert [r["offset"] for r in found] == [sum(map(len, stored[:i])) for i in range(5)]
+
+
+def test_audit_query_on_odd_tables(spark, tmp_path):
+    """No pages, pages that the other replica lost altogether, null addresses, texts and ids."""
+    schema = "page_id long, url string, html string"
+    for name, rows, expected in (
+        ("none", [], []),
+        ("lost", [(3, "u", "x"), (92, None, None)], [(3, "missing"), (92, "missing")]),
+        ("odd", [(5, None, None), (3, "u", ""), (7, "u", "é" * 9), (None, "u", "x")], [(3, "missing"), (5, "changed")]),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name / "pages.parquet"))
+        found = QUERIES["op3_merkle_audit"](spark, str(tmp_path / name)).collect()
+        assert sorted((r["page_id"], r["fault"]) for r in found) == expected

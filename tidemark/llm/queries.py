@@ -143,7 +143,7 @@ def op3_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     theirs = F.when(F.expr("id % 97 = 5"), damaged.cast("binary")).otherwise(F.col("record"))
     folder = fresh_folder(spark, "archives")
     warc.write_replicas(ours, {"ours": F.col("record"), "theirs": F.when(F.expr("id % 89 <> 3"), theirs)}, folder)
-    found = warc.audit_files(*(partial(warc.numbered_files, spark, f"{folder}/side={side}") for side in ("ours", "theirs")))
+    found = warc.audit_files(*(partial(warc.numbered_files, spark, folder, side) for side in ("ours", "theirs")))
     page_id = F.regexp_extract("record_id", "<urn:record:(.*)>", 1).cast("long").alias("page_id")
     return found.select(page_id, F.col("file").cast("long").alias("file"), "offset", "fault")
 

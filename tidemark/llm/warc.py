@@ -227,9 +227,12 @@ def stored_files(spark: SparkSession, path: str, names: list[str] | None = None)
     return files.select(name.alias("file"), "content")
 
 
-def numbered_files(spark: SparkSession, path: str, names: list | None = None) -> DataFrame:
-    """`file` (number), `content` of one replica of `write_replicas`; only the folders of the named files are read."""
+def numbered_files(spark: SparkSession, path: str, side: str, names: list | None = None) -> DataFrame:
+    """`file` (number), `content` of one replica of `write_replicas`, none if it has no records; only the folders of the named files are read."""
     files = spark.read.format("binaryFile").load(path)
+    if "side" not in files.columns:
+        return spark.createDataFrame([], "file long, content binary")
+    files = files.where(F.col("side") == side)
     return (files if names is None else files.where(F.col("file").isin(names))).select("file", "content")
 
 
