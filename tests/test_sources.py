@@ -2,6 +2,7 @@ import json
 from datetime import datetime, timezone
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +49,23 @@ def test_parquet_glob_and_tree(spark, tmp_path):
     assert parquet_glob(spark, str(tmp_path / "a/b"), "*.parquet").count() == 3
 
 
+def test_parquet_glob_of_folders_and_partitions(spark, tmp_path):
+    """A table may be a folder of part files; single files beside it and files below partition folders match too."""
+    at = str(tmp_path / "tables")
+    spark.range(3).repartition(2).write.parquet(f"{at}/documents.parquet")
+    spark.range(3, 4).write.parquet(f"{at}/labels.parquet")
+    spark.range(9).write.parquet(f"{at}/other")
+    pq.write_table(pa.table({"id": [7]}), f"{at}/one.parquet")
+    ids = lambda df: sorted(r["id"] for r in df.collect())
+    assert ids(parquet_glob(spark, at, "documents.parquet")) == [0, 1, 2]
+    assert ids(parquet_glob(spark, at, "one.parquet")) == [7]
+    assert ids(parquet_glob(spark, at)) == [0, 1, 2, 3, 7]
+    parted = str(tmp_path / "parted")
+    spark.range(4).withColumn("day", F.col("id") % 2).write.partitionBy("day").parquet(parted)
+    for glob in ("*.parquet", "*"):
+        assert sorted(tuple(r) for r in parquet_glob(spark, parted, glob).collect()) == [(0, 0), (1, 1), (2, 0), (3, 1)]
+
+
 @pytest.fixture
 def pages(tmp_path):
     for number in range(1, 13):

@@ -6,8 +6,16 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
+from tidemark.plans import folders
+
 
 def parquet_glob(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
+    """The parquet tables of a folder whose names match: single files, and folders of part files as Spark writes them.
+
+    Partition folders (`column=value`) are no tables: below them single files match.
+    """
+    if folders.matching_folders(spark, folder, glob):
+        return spark.read.parquet(f"{folder}/{glob}")
     return spark.read.option("pathGlobFilter", glob).parquet(folder)
 
 
