@@ -1,5 +1,7 @@
 """One key, source or bucket holds a third of all rows: the results stay whole."""
 
+import collections
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,3 +62,11 @@ def test_hot_job_in_a_run_log(spark):
     got = intervals.islands(holes, "s", "e", ["job"])
     assert got.count() == days + 2 and got.agg(F.sum("n")).first()[0] == holes.count()
     assert intervals.gaps(holes, "s", "e", ["job"]).count() == days + 1
+
+
+def test_copies_are_made_by_all_tasks(spark):
+    """A few rows with many copies each are a few small records after counting: their copies must not come from one task."""
+    rows = spark.range(120_000).select((F.col("id") % 40).alias("key"))
+    numbered = normalize.numbered_copies(rows, "copy").withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r["key"], r["copy"]) for r in numbered) == [(k, c) for k in range(40) for c in range(3000)]
+    assert max(collections.Counter(r["task"] for r in numbered).values()) < 60_000

@@ -10,6 +10,7 @@ SEPARATOR = "__"
 ROW_ID, PARENT_ID, ROOT_ID = "_row_id", "_parent_id", "_root_id"
 LIST_INDEX, LOAD_ID = "_list_idx", "_load_id"
 COPIES_PER_TASK_ROW = 10_000
+COPIES_IN_PLACE = 16
 
 
 class SchemaConflict(ValueError):
@@ -112,19 +113,22 @@ def numbered_copies(df: DataFrame, name: str, chunk: int = COPIES_PER_TASK_ROW)
     """Number the exact copies of each row 0, 1, 2, ...
 
     Copies are counted (partly before the shuffle, so a row repeated very often is one
-    small record by then) and made again from the count. A count above `chunk` is cut
-    into pieces that are spread over tasks first.
+    small record by then) and made again from the count. A count above `COPIES_IN_PLACE` is cut
+    into pieces of `chunk` that are spread over all shuffle partitions first: their number is
+    given, because pieces are so small that Spark would gather them in one task. Those rows are
+    a small part of the input.
     """
     columns = df.columns
     counted = _counted_copies(df)
-    few = counted.where(F.col("_n") <= chunk).select(
+    in_place = min(chunk, COPIES_IN_PLACE)
+    few = counted.where(F.col("_n") <= in_place).select(
         *columns, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)).alias(name)
     )
     starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(chunk).cast("bigint")))
     many = (
-        counted.where(F.col("_n") > chunk)
+        counted.where(F.col("_n") > in_place)
         .select(*columns, "_n", starts.alias("_from"))
-        .repartition("_from", *_hashable(df))
+        .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_from", *_hashable(df))
         .select(
             *columns,
             F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + chunk, F.col("_n")) - 1)).alias(name),
