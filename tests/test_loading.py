@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import Incremental, Pipeline, Resource, Source, TimeWindow, paged_resource, source, transformation
 from tidemark.operators.merge import latest_per_key
-from tidemark.operators.normalize import SchemaConflict, flagged_columns
+from tidemark.operators.normalize import SchemaConflict, flagged_columns, relational_tables, with_row_keys
 from tidemark.plans import folders
 from tidemark.plans.loading import NullKey
 from tidemark.session import shared_folder
@@ -133,6 +133,30 @@ def test_nested_resource_replace_and_merge(spark, run, tmp_path, rows):
     assert ("raw__kids__sub", "raw__kids") in parents and ("raw__kids", "raw") in parents and ("raw", None) in parents
 
 
+@pytest.mark.parametrize("file_format", ["parquet", "csv", "json"])
+def test_child_keys_are_made_again_by_the_reader(spark, run, file_format):
+    """Files of child tables hold no hash that follows from the parent's key and the place; every reader sees it."""
+    schema = "id bigint, kids array<struct<n: bigint, sub: array<struct<z: bigint>>>>"
+    data = [(1, [(5, [(1,), (2,)]), (6, [])]), (2, [(5, [(3,)])]), (None, [(7, [(4,)])])]
+    load = lambda rows: Resource("t", lambda s: spark.createDataFrame(rows, schema), "merge", "id", null_keys=True)
+    run.run(load(data), load_id="1", file_format=file_format)
+    run.run(load([(2, [(8, [(9,)]), (8, [])])]), load_id="2")
+    now = spark.createDataFrame([data[0], (2, [(8, [(9,)]), (8, [])]), data[2]], schema)
+    want = relational_tables(with_row_keys(now, ["id"]), "t")
+    for name in ("t__kids", "t__kids__sub"):
+        stored, columns = run.dataset()[name], want[name].columns
+        assert sorted(map(tuple, stored.select(columns).collect())) == sorted(map(tuple, want[name].collect()))
+        if file_format == "parquet":
+            files = spark.read.option("basePath", f"{run.root}/{name}").parquet(f"{run.root}/{name}/_version=*")
+            assert files.where("_row_id IS NOT NULL").count() == 0
+    # Rows that come into a child's table as a table of their own keep the keys they have.
+    own = spark.createDataFrame([(70,)], "n bigint")
+    run.run(Resource("t__kids", lambda s: own, "append", row_ids=True), load_id="3")
+    run.run(load([(1, [(50, [])])]), load_id="4")
+    kids = {r["n"]: r["_row_id"] for r in run.dataset()["t__kids"].collect()}
+    assert kids[70] == with_row_keys(own, load_id="3").first()["_row_id"] and set(kids) == {7, 8, 50, 70}
+
+
 def test_unkeyed_nested_copies_keep_their_children(spark, run):
     df = spark.createDataFrame([(1, [(5,)]), (1, [(5,)])], "id bigint, kids array<struct<n: bigint>>")
     run.run(df, "c")

@@ -69,8 +69,12 @@ def child_rows(flat: DataFrame, column: str) -> DataFrame:
         rows = exploded.select(*[c for c in exploded.columns if c != "element"], "element.*")
     else:
         rows = exploded.withColumnRenamed("element", "value")
-    key = F.sha2(F.concat_ws("|", PARENT_ID, F.lit(column), F.col(LIST_INDEX).cast("string")), 256)
-    return rows.select(key.alias(ROW_ID), "*")
+    return rows.select(child_key(column).alias(ROW_ID), "*")
+
+
+def child_key(column: str) -> Column:
+    """The key of a row of the child table of a list column, from its parent's key and its place."""
+    return F.sha2(F.concat_ws("|", PARENT_ID, F.lit(column), F.col(LIST_INDEX).cast("string")), 256)
 
 
 def relational_tables(df: DataFrame, name: str) -> dict[str, DataFrame]:
@@ -78,13 +82,18 @@ def relational_tables(df: DataFrame, name: str) -> dict[str, DataFrame]:
 
     `df` must carry `_row_id` when it has nested lists.
     """
+    return {table: rows for table, (rows, _) in tables_of_lists(df, name).items()}
+
+
+def tables_of_lists(df: DataFrame, name: str, column: str | None = None) -> dict[str, tuple[DataFrame, str | None]]:
+    """The tables of `relational_tables`, each with the list column that a child table's rows come from."""
     flat = flatten(df)
     lists = nested_lists(flat)
     if lists and ROW_ID not in flat.columns:
         raise ValueError("nested lists need row keys first: with_row_keys(...)")
-    tables = {name: flat.drop(*lists)}
-    for column in lists:
-        tables.update(relational_tables(child_rows(flat, column), f"{name}{SEPARATOR}{column}"))
+    tables = {name: (flat.drop(*lists), column)}
+    for each in lists:
+        tables.update(tables_of_lists(child_rows(flat, each), f"{name}{SEPARATOR}{each}", each))
     return tables
 
 

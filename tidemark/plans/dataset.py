@@ -2,7 +2,9 @@
 
 Spark cannot overwrite files it is reading, and a reader must never see half a load.
 So a load writes a new folder and then swaps the table's `current.json`. One writer
-per table is assumed.
+per table is assumed. Files of a child table leave a `_row_id` empty that is the hash of the
+parent's key and the place: it takes more room than the rest of a small row, and `read` makes
+it again.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.operators.merge import same_key, without_keys
-from tidemark.operators.normalize import LOAD_ID
+from tidemark.operators.normalize import LOAD_ID, PARENT_ID, ROW_ID, child_key
 from tidemark.plans import folders
 from tidemark.windows import TimeWindow
 
@@ -109,12 +111,15 @@ class StoredTable:
             return True
         return self.info["partition_by"] in self.info["key"]
 
-    def read(self, entries: Sequence[dict] | None = None, with_layout: bool = False) -> DataFrame:
-        schema = self.schema
+    def read(self, entries: Sequence[dict] | None = None, with_layout: bool = False, as_stored: bool = False) -> DataFrame:
+        """Rows of the current or the given entries; `as_stored` leaves the keys of child rows as empty as files have them."""
+        schema, made = self.schema, {}
         entries = self.info["entries"] if entries is None else entries
         stored = schema
         if self.layout in HIDDEN:
             stored = T.StructType([*schema.fields, T.StructField(self.layout, HIDDEN[self.layout])])
+        if self.info.get("list") and not as_stored:
+            made[ROW_ID] = F.coalesce(ROW_ID, F.when(F.col(PARENT_ID).isNotNull(), child_key(self.info["list"])))
         if not entries:
             df = self.spark.createDataFrame([], stored)
         else:
@@ -123,7 +128,7 @@ class StoredTable:
             df = reader.options(**format_options(self.info["format"])).load(paths)
         keep = stored.fieldNames() if with_layout else schema.fieldNames()
         notes = {f.name: f.metadata for f in schema.fields}
-        return df.select(*[F.col(f"`{n}`").alias(n, metadata=notes.get(n) or {}) for n in keep])
+        return df.select(*[made.get(n, F.col(f"`{n}`")).alias(n, metadata=notes.get(n) or {}) for n in keep])
 
     # ---- writing ----
 
@@ -233,7 +238,7 @@ class StoredTable:
         staged = self.write_files(df, load_id, counted)
         if not current:
             return staged
-        kept = without_keys(self.read(current), parent_ids, [link], [parent_ids.columns[0]])
+        kept = without_keys(self.read(current, as_stored=True), parent_ids, [link], [parent_ids.columns[0]])
         return self.write_files(kept, load_id) + staged
 
     def discard_written(self) -> None:
@@ -372,7 +377,7 @@ class Dataset:
         """Write all current folders of a table as one, to end a long row of small appends."""
         stored = self.stored(name)
         loads = sorted({x for e in stored.info["entries"] for x in e.get("loads", [e["load"]])})
-        written = stored.write_files(stored.read(), "compacted")
+        written = stored.write_files(stored.read(as_stored=True), "compacted")
         stored.swap([{**e, "loads": loads} for e in written])
 
 

@@ -27,7 +27,7 @@ from tidemark.operators.normalize import (
     keep_type,
     nested_lists,
     reconciled,
-    relational_tables,
+    tables_of_lists,
     timestamps_from_text,
     widened,
     with_row_keys,
@@ -286,13 +286,13 @@ class Pipeline:
         if lists:
             # Parsed once: the parent and every child table read the stored copy.
             df = self._kept(df, f"nested-{resource.table}")
-        tables = relational_tables(df, resource.table) if nested else {resource.table: df}
+        tables = tables_of_lists(df, resource.table) if nested else {resource.table: (df, None)}
         if resource.infer_times:
-            tables = {name: self._timed(name, rows) for name, rows in tables.items()}
-        parents = tables[resource.table]
-        for name, rows in tables.items():
+            tables = {name: (self._timed(name, rows), column) for name, (rows, column) in tables.items()}
+        parents = tables[resource.table][0]
+        for name, (rows, column) in tables.items():
             is_child = name != resource.table
-            pending.append(self._write(resource, name, rows, parents if is_child else None, load_id, file_format))
+            pending.append(self._write(resource, name, rows, parents if is_child else None, column, load_id, file_format))
         if cursor is not None:
             # Spark drops the observed step from the plan of an empty batch: then it is counted apart.
             seen = observed(high) or unobserved.agg(*seen).first().asDict()
@@ -354,6 +354,7 @@ class Pipeline:
         name: str,
         rows: DataFrame,
         parents: DataFrame | None,
+        column: str | None,
         load_id: str,
         file_format: str,
     ) -> _Pending:
@@ -374,7 +375,10 @@ class Pipeline:
             info["partition_by"], info["period"] = by if isinstance(by, tuple) else (by, None)
             info["buckets"] = None if is_child else resource.buckets
             info["stable_layout"] = resource.stable_layout
+            info["list"] = column
         stored.describe(ready, **info)
+        if is_child and stored.info.get("list") == column:
+            ready = ready.withColumn(ROW_ID, F.lit(None).cast("string"))
         counted = Observation()
         disposition = resource.write_disposition
         load_key = self._load_key(load_id)
