@@ -229,3 +229,25 @@ def test_suffix_tree_scores_against_brute_force(spark):
     got = {r["doc_id"]: r["score"] for r in out}
     for (doc, _), expected in zip(rows, brute_scores(rows, held)):
         assert abs(got[doc] - expected) < 1e-5 * max(1, abs(expected)), doc
+
+
+@pytest.mark.parametrize("depth", [2, 3, 6])
+def test_suffix_tree_walks_from_the_first_symbols(spark, depth):
+    """Looking up the first symbols at once leads where single steps lead."""
+    rng, st = np.random.default_rng(depth), suffix_tree
+    texts = ["".join(rng.choice(list("abcé  "), 300, p=[0.4, 0.25, 0.1, 0.05, 0.1, 0.1])) for _ in range(40)] + ["", None]
+    tree, *_ = st.grown(spark.createDataFrame([(t,) for t in texts], "text string"), depth=depth, min_share=0.0005)
+    raw = np.frombuffer(st.spelled("ab ba cab zz é" + "abca " * 9), np.uint8)
+    symbols, heads = tree.symbol[raw], tree.heads(tree.steps)
+    logs = tree.log_probabilities(raw)
+    for i in range(st.DEPTH, len(raw)):
+        state, row = 0, tree.logs[0][0]
+        walking, walked = True, 0
+        for d in range(depth):
+            state = int(tree.steps[d][state * tree.size + symbols[i - d - 1]])
+            assert tree.states(symbols, d + 1, heads)[i - st.DEPTH] == state
+            if walking:
+                walked = int(tree.walks[d][walked * tree.size + symbols[i - d - 1]])
+                walking = walked < len(tree.logs[d + 1])
+                row = tree.logs[d + 1][walked] if walking else row
+        assert logs[i - st.DEPTH] == row[symbols[i]] + tree.spread[raw[i]]

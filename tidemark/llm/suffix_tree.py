@@ -32,6 +32,9 @@ from tidemark.llm.common import Scratch, block_count, dealt, undealt
 from tidemark.llm.neardup import runs
 
 DEPTH = 6
+HEAD = 3
+"""Symbols that are looked up at once where walks begin."""
+
 MIN_SHARE = 5e-6
 MIN_DIVERGENCE = 5.0
 PRIOR = 5.0
@@ -100,33 +103,58 @@ class Tree:
     walks: list[np.ndarray]
     """The steps between retained contexts only."""
 
-    def states(self, symbols: np.ndarray, depth: int) -> Iterator[np.ndarray]:
-        """For each depth, the candidates that the places from `DEPTH` on have behind them."""
-        state = np.zeros(len(symbols) - DEPTH, np.int32)
-        yield state
-        for d, step in enumerate(self.steps[:depth]):
-            state = step[state * np.int32(self.size) + symbols[DEPTH - d - 1 : len(symbols) - d - 1]]
-            yield state
+    first: np.ndarray | None = None
+    """Where walks begin: for the last `HEAD` symbols of a place, the retained context of that length, or none."""
+
+    first_rows: np.ndarray | None = None
+    first_logs: np.ndarray | None = None
+    """For the last `HEAD` symbols, the row of the longest retained context of up to `HEAD` symbols in `first_logs`."""
+
+    def heads(self, steps: list[np.ndarray]) -> list[np.ndarray]:
+        """For each number of steps up to `HEAD`, where they lead from the root, by all the symbols they could meet."""
+        found = [np.zeros(1, np.int32)]
+        for step in steps[:HEAD]:
+            found.append(step[(found[-1][:, None] * np.int32(self.size) + np.arange(self.size, dtype=np.int32)).ravel()])
+        return found
+
+    def last(self, symbols: np.ndarray, n: int) -> np.ndarray:
+        """The last `n` symbols before each place from `DEPTH` on as one number, the newest first."""
+        number = symbols[DEPTH - 1 : len(symbols) - 1]
+        for d in range(1, n):
+            number = number * np.int32(self.size) + symbols[DEPTH - d - 1 : len(symbols) - d - 1]
+        return number
+
+    def states(self, symbols: np.ndarray, depth: int, heads: list[np.ndarray]) -> np.ndarray:
+        """The candidates of a depth that the places from `DEPTH` on have behind them; `heads` of the steps."""
+        begun = min(HEAD, depth)
+        state = heads[begun][self.last(symbols, begun)]
+        for d in range(begun, depth):
+            state = self.steps[d][state * np.int32(self.size) + symbols[DEPTH - d - 1 : len(symbols) - d - 1]]
+        return state
 
     def log_probabilities(self, raw: np.ndarray) -> np.ndarray:
         """Natural log probability of every byte of spelled texts from the place `DEPTH` on.
 
         A retained context's parent is retained, so a place is done at the first context that can't be made longer.
         """
-        symbols = self.symbol[raw]
-        live = np.arange(len(symbols) - DEPTH, dtype=np.int32)
-        state, best = np.zeros(len(live), np.int32), np.zeros(len(live), np.float32)
-        for d, logs in enumerate(self.logs):
+        symbols, size = self.symbol[raw], np.int32(self.size)
+        begun = min(HEAD, len(self.walks))
+        number = self.last(symbols, begun)
+        best = self.first_logs.ravel()[self.first_rows[number] * size + symbols[DEPTH:]]
+        state = self.first[number]
+        live = np.flatnonzero(state < len(self.logs[begun])).astype(np.int32)
+        state = state[live]
+        for d in range(begun, len(self.logs)):
             if d < len(self.walks):
                 step = self.walks[d]
-                longer = step[state * np.int32(self.size) + symbols[live + np.int32(DEPTH - d - 1)]]
+                longer = step[state * size + symbols[live + np.int32(DEPTH - d - 1)]]
                 more = longer < step[-1]
                 done = np.flatnonzero(~more)
                 ended, last = live[done], state[done]
                 live, state = live[more], longer[more]
             else:
                 ended, last = live, state
-            best[ended] = logs.ravel()[last * np.int32(self.size) + symbols[ended + np.int32(DEPTH)]]
+            best[ended] = self.logs[d].ravel()[last * size + symbols[ended + np.int32(DEPTH)]]
         return best + self.spread[raw[DEPTH:]]
 
 
@@ -220,20 +248,20 @@ def _step(states: int, size: int, kept: np.ndarray) -> np.ndarray:
     return step
 
 
-def _placed(tree: Tree, run: list[bytes], depth: int, states: int) -> tuple[np.ndarray, np.ndarray]:
+def _placed(tree: Tree, heads: list[np.ndarray], run: list[bytes], depth: int, states: int) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of some texts, and the candidates of a depth at the predicted places, `states` for none."""
     data, predicted = _joined(run)
     symbols = tree.symbol[data]
-    *_, state = tree.states(symbols, depth)
+    state = tree.states(symbols, depth, heads)
     return symbols, np.where(predicted[DEPTH:], state, np.int32(states))
 
 
 def _extensions(texts: DataFrame, tree: Tree, depth: int, need: int) -> np.ndarray:
     """Candidates of one symbol more than `depth`, as state and symbol."""
-    states = int(tree.steps[depth - 1].max())
+    states, heads = int(tree.steps[depth - 1].max()), tree.heads(tree.steps)
 
     def keys(run: list[bytes]) -> np.ndarray:
-        symbols, state = _placed(tree, run, depth, states)
+        symbols, state = _placed(tree, heads, run, depth, states)
         return state * np.int32(tree.size) + symbols[DEPTH - depth - 1 : len(symbols) - depth - 1]
 
     found, counts = _pairs(_counted(texts, keys, (states + 1) * tree.size).where((F.col("count") >= need) & (F.col("key") < states * tree.size)))
@@ -242,10 +270,10 @@ def _extensions(texts: DataFrame, tree: Tree, depth: int, need: int) -> np.ndarr
 
 def _next_counts(texts: DataFrame, tree: Tree, depth: int, need: int, states: int) -> tuple[np.ndarray, np.ndarray]:
     """Next-symbol counts of the candidates of a depth, and the candidates one deeper."""
-    half, longest = (states + 1) * tree.size, depth == DEPTH
+    half, longest, heads = (states + 1) * tree.size, depth == DEPTH, tree.heads(tree.steps)
 
     def keys(run: list[bytes]) -> np.ndarray:
-        symbols, state = _placed(tree, run, depth, states)
+        symbols, state = _placed(tree, heads, run, depth, states)
         own = state * np.int32(tree.size)
         following = own + symbols[DEPTH:]
         if longest:
@@ -279,6 +307,13 @@ def _smooth(tree: Tree, tables: list[np.ndarray]) -> None:
     for d, step in enumerate(tree.steps):
         kept = np.append(tree.retained[d + 1], False)
         tree.walks.append(np.where(kept[step], step, np.int32(len(tables[d + 1]))))
+    heads = tree.heads(tree.walks)
+    tree.first, tree.first_logs = heads[-1], np.concatenate(tree.logs[: len(heads)])
+    rows, above = np.zeros(1, np.int32), 0
+    for d, head in enumerate(heads[1:], 1):
+        above += len(tree.logs[d - 1])
+        rows = np.where(head < len(tree.logs[d]), above + head, np.repeat(rows, tree.size))
+    tree.first_rows = rows.astype(np.int32)
 
 
 def _parents(tree: Tree, depth: int) -> np.ndarray:
@@ -352,8 +387,9 @@ def scored(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
         for words, counts in zip(replies["words"], replies["counts"]):
             known.update(zip(unpack(words), np.frombuffer(counts, np.int64).tolist()))
         rows, parts = undealt(block["rows"]), []
-        for part in runs([text.encode() for text in rows["text"]], BATCH_BYTES // 8):
-            words = [text.encode().lower().split() for text in rows["text"].iloc[part]]
+        texts = [text.encode() for text in rows["text"]]
+        for part in runs(texts, BATCH_BYTES // 8):
+            words = [text.lower().split() for text in texts[part]]
             counts = np.array([c for some in words for c in (*map(known.__getitem__, some), n_ends)], float)
             raw, predicted = _joined([joined_words(some) for some in words])
             logs = tree.log_probabilities(raw)[predicted[DEPTH:]]
