@@ -231,6 +231,57 @@ def test_suffix_tree_scores_against_brute_force(spark):
         assert abs(got[doc] - expected) < 1e-5 * max(1, abs(expected)), doc
 
 
+def test_suffix_tree_has_rare_contexts_of_large_corpora(spark, monkeypatch):
+    """A context that occurs once among 496,688 training positions is tested like any other (5e-6 of them are three)."""
+    rng = random.Random(5)
+    common = ["".join(rng.choice("abc  ") for _ in range(1000)) for _ in range(6)]
+    rows = [(i, common[i % 6]) for i in range(600)] + [(999, "the quick zebra jumps"), (1001, "quick zebra"), (1002, "zebra jumps over")]
+    held = [d >= 1001 or d % 50 == 0 for d, _ in rows]
+    out = suffix_tree.scored(frame(spark, rows, extra=False), F.expr("doc_id >= 1001 OR doc_id % 50 = 0"), block_bytes=20_000).collect()
+    got = {r["doc_id"]: r["score"] for r in out}
+    monkeypatch.setattr(suffix_tree, "MIN_SHARE", 0.0)
+    for (doc, _), expected in zip(rows, brute_scores(rows, held)):
+        assert abs(got[doc] - expected) < 1e-5 * max(1, abs(expected)), doc
+
+
+def test_subtrees_by_parts_make_one_tree():
+    """Log probabilities of grams, part by part, are those of a tree counted by hand; unseen grams among them."""
+    st, rng = suffix_tree, np.random.default_rng(3)
+    size, raw = 4, rng.choice(4, 3000, p=[0.6, 0.2, 0.15, 0.05])
+    raw[1::3] = raw[::3][: len(raw[1::3])]
+    grams = collections.Counter(tuple(raw[i - st.DEPTH : i + 1].tolist()) for i in range(st.DEPTH, len(raw)))
+    asked = {**{tuple(rng.choice(4, st.DEPTH + 1).tolist()): 0 for _ in range(500)}, **grams}
+    seen = collections.Counter()
+    for gram, n in grams.items():
+        for d in range(st.DEPTH + 1):
+            seen[gram[st.DEPTH - d : -1], gram[-1]] += n
+    total = collections.Counter()
+    for (context, _), n in seen.items():
+        total[context] += n
+
+    def chance(context, s):
+        if not context:
+            return (seen[(), s] + 1) / (total[()] + size)
+        return (seen[context, s] + st.PRIOR * chance(context[1:], s)) / (total[context] + st.PRIOR)
+
+    kept = set()
+    for context, n in total.items():
+        if len(context) >= st.STEM:
+            gain = sum(c * math.log(c / n / chance(context[1:], s)) for s in range(size) if (c := seen[context, s]))
+            kept |= {context[i:] for i in range(len(context) + 1 - st.STEM + 1)} if gain >= st.MIN_DIVERGENCE else set()
+    above = np.array([[chance((b, a), s) for s in range(size)] for a in range(size) for b in range(size)])
+    number = lambda g: int("".join(map(str, [*reversed(g[:-1]), g[-1]])), size)
+    keys = {number(g): g for g in asked}
+    for stem in {number(g) // size ** (st.DEPTH + 1 - st.STEM) for g in asked}:
+        part = np.array(sorted(k for k in keys if k // size ** (st.DEPTH + 1 - st.STEM) == stem), np.int64)
+        logs, short = st._subtrees(part, np.array([asked[keys[k]] for k in part.tolist()], np.int64), size, above)
+        assert short.tolist() == [stem // size] * any(int("".join(map(str, reversed(c[-st.STEM :]))), size) == stem for c in kept if len(c) >= st.STEM)
+        for k, log in zip(part.tolist(), logs):
+            gram = keys[k]
+            longest = next((gram[i:-1] for i in range(st.DEPTH - st.STEM + 1) if gram[i:-1] in kept), None)
+            assert np.isnan(log) if longest is None else abs(log - math.log(chance(longest, gram[-1]))) < 1e-5
+
+
 @pytest.mark.parametrize("depth", [2, 3, 6])
 def test_suffix_tree_walks_from_the_first_symbols(spark, depth):
     """Looking up the first symbols at once leads where single steps lead."""
